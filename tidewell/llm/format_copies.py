@@ -17,7 +17,7 @@ _TAG = regex.compile(r"</?[A-Za-z][^<>]*>|<!--.*?-->", regex.S)
 _ENTITY = regex.compile(r"&(?:#\d+|#[xX][0-9a-fA-F]+|\w+);")
 _OTHER = regex.compile(r"[^\p{L}\p{N}\p{M}]+")
 _MARKS = regex.compile(r"^\p{M}+")
-_PART = regex.compile(r"[\n;|/]+|(?<=[^\d\s]),(?=\s*[^\d\s])")
+_PART = regex.compile(r"[\n;|/]+|,(?=\s*[^\W\d_][^:,;|/\n]{0,40}:)")
 _LABELLED = regex.compile(r"^[\W_]*([^\W\d_][^:\n]{0,40}?)\s*:\s*(\S.*?)\s*$", regex.S)
 
 

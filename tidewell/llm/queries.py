@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.events import epoch_ms, event_name, shop_key, strip
-from tidewell.llm import format_copies, runs, stripes
+from tidewell.llm import bpe, format_copies, leaks, runs, sentences, stripes
 from tidewell.session import table
 
 
@@ -57,7 +57,26 @@ def p7_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _runs(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_pairs, p3_found, p3_sets, p7_found, p7_runs)}
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of each document by byte_bpe_50k."""
+    return bpe.encode_texts(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def p9_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold at least half of a test item's wording, with the tokens covered and the item's size."""
+    return leaks.find_leaks(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "benchmark"), "item_id", "text", "lang")
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p9_leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sentences of each document as offsets."""
+    return sentences.sentences(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_pairs, p3_found, p3_sets, p7_found, p7_runs, p8_ids, p9_found, p9_leaks, p10_found)}
 
 _WIDE = "translate(shopid, '０１２３４５６７８９', '0123456789')"
 _CLEAN = rf"""
