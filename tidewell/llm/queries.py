@@ -6,10 +6,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.functions.events import epoch_ms, event_name, shop_key, strip
-from tidewell.llm import bpe, format_copies, leaks, runs, sentences, stripes
+from tidewell.llm import bpe, canonical, format_copies, leaks, runs, sentences, stripes
 from tidewell.session import table
 
 
+def _brands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = table(spark, sf_dir, "o2o_new_gut_shop_base").select(F.lit("brnd_nm").alias("source_field"), F.col("shopId").alias("record_key"), F.col("brnd_nm").alias("value"))
+    third = table(spark, sf_dir, "o2o_new_gut_shop_base_third")
+    rows = own.unionByName(third.select(F.lit("str_nm").alias("source_field"), F.col("Id").cast("string").alias("record_key"), F.col("Str_Nm").alias("value")))
+    brands = table(spark, sf_dir, "brand_list")
+    known = brands.select(F.col("brand_nm").alias("value")).where("value is not null").distinct()
+    typed = rows.where(F.col("value").isNotNull() & F.col("value").rlike(r"(?U)\S")).join(known, "value", "left_anti")
+    found = canonical.map_values(typed, "value", brands, "brand_id", ["brand_nm", "alias_nm"], third.select("City_Nm"), "cat_nm")
+    return typed.join(found, "value")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _brands(spark, sf_dir).select("source_field", "record_key", F.coalesce("brand_id", F.lit(0)).cast("long").alias("brand_id")).distinct()
+
+
+def p1_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that no listed brand is meant by, with the number of records."""
+    return _brands(spark, sf_dir).where("brand_id is null").groupBy("source_field", "value").agg(F.countDistinct("record_key").alias("n_records"))
+
+
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "user_seq")
     day = F.floor(epoch_ms(F.col("event_time")) / F.lit(86_400_000))
@@ -76,7 +96,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.sentences(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_pairs, p3_found, p3_sets, p7_found, p7_runs, p8_ids, p9_found, p9_leaks, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p2_pairs, p3_found, p3_sets, p7_found, p7_runs, p8_ids, p9_found, p9_leaks, p10_found)}
 
 _WIDE = "translate(shopid, '０１２３４５６７８９', '0123456789')"
 _CLEAN = rf"""
