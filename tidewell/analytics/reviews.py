@@ -24,7 +24,7 @@ def derive(df: DataFrame) -> DataFrame:
     ms = F.when(F.col("timestamp") < 10**12, F.col("timestamp") * 1000).otherwise(F.col("timestamp"))
     at = F.timestamp_millis(ms)
     return df.withColumns({
-        "review_date": F.to_date(at), "review_year_month": F.date_format(at, "yyyy-MM"), "review_weekday": F.date_format(at, "E"),
+        "review_ms": ms, "review_date": F.to_date(at), "review_year_month": F.date_format(at, "yyyy-MM"), "review_weekday": F.date_format(at, "E"),
         "text_length": F.length("text"), "title_length": F.length("title"), "is_verified": F.coalesce(F.lower(F.col("verified_purchase").cast("string")) == "true", F.lit(False)),
     })
 
@@ -87,7 +87,7 @@ def null_statistics(df: DataFrame) -> DataFrame:
     empty = [F.count_if(F.col(c).isNull() | (F.col(c) == "") if kinds[c] == "string" else F.col(c).isNull()).alias(c) for c in df.columns]
     one = df.agg(F.count(F.lit(1)).alias("_all"), *empty)
     flat = one.select("_all", F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.col(c).alias("null_count")) for c in df.columns))).alias("x")).select("x.field", "x.null_count", "_all")
-    return flat.select("field", "null_count", F.format_string("%.2f%%", F.coalesce(F.try_divide(F.col("null_count") * 100.0, "_all"), F.lit(0.0))).alias("null_ratio"))
+    return flat.select("field", "null_count", F.format_string("%.2f%%", F.round(F.coalesce(F.try_divide(F.col("null_count") * 100.0, "_all"), F.lit(0.0)), 2)).alias("null_ratio"))
 
 
 @analyzer
@@ -97,8 +97,8 @@ def verified_purchase_comparison(df: DataFrame) -> DataFrame:
 
 
 def _numbered(df: DataFrame) -> DataFrame:
-    """The user's reviews numbered in time. Reviews without user are one 'user' no more: they are left out."""
-    w = Window.partitionBy("user_id").orderBy("timestamp", *(c for c in ("review_id", "asin") if c in df.columns))
+    """The users' reviews numbered in time, undated ones last, equal times by id. Reviews without user have no number and are left out."""
+    w = Window.partitionBy("user_id").orderBy(F.asc_nulls_last("review_ms"), *(c for c in ("review_id", "asin") if c in df.columns))
     return df.where("user_id is not null").withColumn("review_number", F.row_number().over(w))
 
 

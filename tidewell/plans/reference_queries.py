@@ -59,7 +59,7 @@ def review_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 R_SQL = """rv AS (SELECT *, strftime(CAST(at_ts AS DATE), '%Y-%m') AS review_year_month, strftime(CAST(at_ts AS DATE), '%a') AS review_weekday, length(text) AS text_length, length(title) AS title_length, coalesce(lower(verified_purchase) = 'true', false) AS is_verified
-  FROM (SELECT *, make_timestamp((CASE WHEN "timestamp" < 1000000000000 THEN "timestamp" * 1000 ELSE "timestamp" END) * 1000) AS at_ts FROM amazon_new_review))"""
+  FROM (SELECT *, CASE WHEN "timestamp" < 1000000000000 THEN "timestamp" * 1000 ELSE "timestamp" END AS review_ms, make_timestamp((CASE WHEN "timestamp" < 1000000000000 THEN "timestamp" * 1000 ELSE "timestamp" END) * 1000) AS at_ts FROM amazon_new_review))"""
 
 
 # ---- rule operators: one query each, over part (ids keep the rows apart)
@@ -404,7 +404,7 @@ _ANALYZER_SQL = {
     "helpful_vote_analysis": "SELECT helpful_vote, round(avg(rating), 6) AS avg_rating, count(*) AS review_count FROM rv GROUP BY 1",
     "popularity_comparison": "SELECT CASE WHEN n >= (SELECT quantile_disc(n, 0.5) FROM p) THEN 'Popular' ELSE 'Niche' END AS popularity, round(avg(a), 6) AS overall_avg_rating, round(avg(n), 6) AS avg_review_count, count(*) AS product_count FROM p GROUP BY 1",
     "monthly_rating_distribution": "SELECT review_year_month, rating, count(*) AS review_count FROM rv GROUP BY 1, 2",
-    "null_statistics": "SELECT field, n AS null_count, printf('%.2f%%', n * 100.0 / t) AS null_ratio FROM (SELECT unnest([" + ", ".join(f"{{'field': '{c}', 'n': count(*) FILTER ({c} IS NULL OR {c} = '')}}" for c in ("title", "text", "user_id", "verified_purchase")) + "], recursive := true), count(*) AS t FROM rv)",
+    "null_statistics": "SELECT field, n AS null_count, printf('%.2f%%', round(n * 100.0 / t, 2)) AS null_ratio FROM (SELECT unnest([" + ", ".join(f"{{'field': '{c}', 'n': count(*) FILTER ({c} IS NULL OR {c} = '')}}" for c in ("title", "text", "user_id", "verified_purchase")) + "], recursive := true), count(*) AS t FROM rv)",
 }
 
 
@@ -421,7 +421,7 @@ def _analyzer_query(name: str):
 
 
 for _name, _sql in _ANALYZER_SQL.items():
-    _with = f"WITH {R_SQL}, num AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY \"timestamp\", review_id, asin) AS n FROM rv WHERE user_id IS NOT NULL), p AS (SELECT parent_asin, avg(rating) AS a, count(*) AS n FROM rv GROUP BY 1) "
+    _with = f"WITH {R_SQL}, num AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY review_ms NULLS LAST, review_id) AS n FROM rv WHERE user_id IS NOT NULL), p AS (SELECT parent_asin, avg(rating) AS a, count(*) AS n FROM rv GROUP BY 1) "
     query(_with + _sql, f"reviews_{_name}")(_analyzer_query(_name))
 
 
