@@ -31,7 +31,7 @@ def key_uniqueness(df: DataFrame, keys: list[str] | list[list[str]]) -> DataFram
     out = None
     for k in keys:
         cols = [k] if isinstance(k, str) else list(k)
-        one = df.groupBy(*cols).agg(_n().alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), _n().alias("distinct_keys"))
+        one = df.groupBy(*cols).agg(_n().alias("_rows")).agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("total"), _n().alias("distinct_keys"))
         one = one.select(F.lit("+".join(cols)).alias("key"), "total", "distinct_keys", (F.col("total") - F.col("distinct_keys")).alias("duplicates"))
         out = one if out is None else out.unionByName(one)
     return out.withColumn("duplicate_pct", F.round(F.coalesce(F.try_divide(F.col("duplicates") * 100.0, "total"), F.lit(0.0)), 4))

@@ -34,7 +34,7 @@ def deduplicate(df: DataFrame, key: str | list[str] | None = None, order_by: lis
 def drop_repeats(df: DataFrame, user: str = "user_id", item: str = "item_id", keep: str = "first", tie: tuple[str, ...] = ()) -> DataFrame:
     """Per user in time order (keep='last': backwards) the rows whose item equals the row's before go: run-length deduplication.
 
-    A null item that isn't the user's first row goes. Equal times are ordered by `tie` and item.
+    A row with a null item, or after one, goes unless it is the user's first, as a null equals nothing and differs from nothing. Equal times are ordered by `tie` and item.
     """
     time = next((c for c in TIME_COLUMNS if c in df.columns), None)
     if not has(df, user, item, what="drop_repeats") or time is None:
@@ -42,7 +42,7 @@ def drop_repeats(df: DataFrame, user: str = "user_id", item: str = "item_id", ke
     direction = F.asc if keep == "first" else F.desc
     w = Window.partitionBy(user).orderBy(direction(time), *(F.asc(c) for c in tie), F.asc(item))
     out = df.withColumn("_n", F.row_number().over(w)).withColumn("_before", F.lag(item).over(w))
-    return out.where((F.col("_n") == 1) | (F.col("_before") != F.col(item)) | (F.col("_before").isNull() & F.col(item).isNotNull())).drop("_n", "_before")
+    return out.where((F.col("_n") == 1) | (F.col("_before") != F.col(item))).drop("_n", "_before")
 
 
 def drop_all_repeats(df: DataFrame, user: str = "user_id", item: str = "item_id", keep: str = "first", tie: tuple[str, ...] = ()) -> DataFrame:

@@ -39,14 +39,14 @@ def similar_pairs(df: DataFrame, key: str, tokens: str, least: float) -> DataFra
 
 
 def connected_components(edges: DataFrame, rounds: int = 100) -> DataFrame:
-    """(node, component) of the nodes of edges (a, b); the component is its smallest node. Null ends are left out.
+    """(node, component) of the nodes of edges (a, b); the component is its smallest node. Edges with a null end are left out.
 
     Each round every node takes the smallest label among its neighbours' and its
     label's own (pointer jumping), so long chains shorten quickly. State stays in the cluster and is cut into the shared folder each round.
     """
     e = edges.select("a", "b").where("a is not null and b is not null and a <> b").distinct()
     both = cut(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    loops = edges.select(F.explode(F.array("a", "b")).alias("node")).where("node is not null").distinct()
+    loops = edges.where("a is not null and b is not null").select(F.explode(F.array("a", "b")).alias("node")).distinct()
     labels = cut(loops.select("node", F.col("node").alias("label")), "labels")
     for _ in range(rounds):
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))

@@ -109,10 +109,11 @@ def replicate(df: DataFrame, plan: LoadPlan) -> DataFrame:
 
 
 def balanced_join(fact: DataFrame, match: DataFrame, plan: LoadPlan, row_id: str, how: str = "left") -> DataFrame:
-    """fact joined with match on the plan's key, both laid out by the plan. Columns of match other than the key must have names of their own.
+    """fact joined with match on the plan's key, both laid out by the plan. Columns of match that fact has too get the ending _match.
 
     how: inner or left. Rows of fact without key are left out. match may have any number of rows a key.
     """
     if how not in ("inner", "left"):
         raise ValueError("a replicated side allows inner and left joins only")
+    match = match.withColumnsRenamed({c: f"{c}_match" for c in match.columns if c != plan.key and c in fact.columns})
     return spread(fact, plan, row_id).join(replicate(match, plan), ["_bin", plan.key], how).drop("_bin")

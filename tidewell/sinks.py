@@ -48,11 +48,9 @@ def profile_rows(df: DataFrame, declared: list[str], inferred: list[str]) -> Dat
 
 def write_solr(groups: DataFrame, folder: str, header: str | None = None) -> None:
     """ext_synonyms.txt: a line a group; ext_dict.txt: all tokens, sorted. Both are bounded by the search engine's limit of groups, so each is one file."""
-    lines = solr_lines(groups).orderBy("value")
-    if header:
-        head = groups.sparkSession.createDataFrame([(f"# {x}",) for x in header.splitlines()], "value string")
-        lines = head.unionByName(lines)
-    lines.coalesce(1).write.mode("overwrite").text(f"{folder}/ext_synonyms.txt")
+    lines = solr_lines(groups).select(F.lit(1).alias("part"), "value")
+    head = groups.sparkSession.createDataFrame([(0, f"# {x}") for x in (header or "").splitlines()], "part int, value string")
+    head.unionByName(lines).orderBy("part", "value").select("value").coalesce(1).write.mode("overwrite").text(f"{folder}/ext_synonyms.txt")
     groups.select(F.explode("variants").alias("value")).distinct().orderBy("value").coalesce(1).write.mode("overwrite").text(f"{folder}/ext_dict.txt")
 
 
