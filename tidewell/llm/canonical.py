@@ -157,7 +157,7 @@ def map_values(values: DataFrame, value: str, listed: DataFrame, ident: str, nam
     place_words = branch_places(distinct, "value")
     city_words = [r[0] for r in cities.distinct().collect() if r[0]] if cities is not None else []
     kind_words = [r[0] for r in listed.select(kind).distinct().collect() if r[0]] if kind else []
-    entries = listed.select(ident, F.explode(F.array(*names)).alias("name")).where("name is not null").distinct()
+    entries = listed.select(F.col(ident).alias("_i"), F.explode(F.array(*names)).alias("name")).where("name is not null").distinct()
     n_entries = entries.count()
     city_set = {fold(c).removesuffix("市") for c in city_words}
     place_set, kind_set = places_of(map(fold, place_words)), {fold(k) for k in kind_words}
@@ -170,14 +170,14 @@ def map_values(values: DataFrame, value: str, listed: DataFrame, ident: str, nam
     def plain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for i, n in zip(b[ident], b["name"]):
+            for i, n in zip(b["_i"], b["name"]):
                 c = _SYMBOL.sub("", fold(n))
                 if c:
                     rows.append((i, n, c, sound(c), tokens(sound(c))))
-            yield pd.DataFrame(rows, columns=[ident, "name", "known", "entry", "tokens"])
+            yield pd.DataFrame(rows, columns=["_i", "name", "known", "entry", "tokens"])
 
     id_type = listed.schema[ident].dataType.simpleString()
-    right = entries.mapInPandas(plain, f"{ident} {id_type}, name string, known string, entry string, tokens array<string>")
+    right = entries.mapInPandas(plain, f"_i {id_type}, name string, known string, entry string, tokens array<string>")
     left = cut(distinct.mapInPandas(forms, "value string, written string, core string, form int, tokens array<string>"), "forms")
     rarity = right.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
     hint = F.broadcast if n_entries <= SMALL_LIST else (lambda d: d)
@@ -211,7 +211,7 @@ def map_values(values: DataFrame, value: str, listed: DataFrame, ident: str, nam
     # one character exchanged in a short Chinese name makes another name
     slip = F.when(cjk, F.when(F.length("core") == F.length("entry"), length >= 4).otherwise(length >= 3)).otherwise(length >= 5)
     scored = scored.where((distance == 0) | (((distance == 1) | swapped) & slip)).select("core", "entry", "jaccard")
-    hits = left.select("value", "written", "core", "form").join(scored, "core").join(hint(right.select(ident, "name", "known", "entry")), "entry")
-    rank = F.struct((F.col("jaccard") == 1).cast("int").alias("exact"), (-F.col("form")).alias("form"), (-F.levenshtein("written", "known")).alias("slips"), "jaccard", F.length("entry").alias("n"), (-F.col(ident)).alias("i"))
-    best = hits.groupBy("value").agg(F.max_by(F.struct(ident, "name", "jaccard"), rank).alias("hit"))
-    return distinct.join(best, "value", "left").select(F.col("value").alias(value), f"hit.{ident}", "hit.name", "hit.jaccard")
+    hits = left.select("value", "written", "core", "form").join(scored, "core").join(hint(right.select("_i", "name", "known", "entry")), "entry")
+    rank = F.struct((F.col("jaccard") == 1).cast("int").alias("exact"), (-F.col("form")).alias("form"), (-F.levenshtein("written", "known")).alias("slips"), "jaccard", F.length("entry").alias("n"), (-F.col("_i")).alias("i"))
+    best = hits.groupBy("value").agg(F.max_by(F.struct("_i", "name", "jaccard"), rank).alias("hit"))
+    return distinct.join(best, "value", "left").select(F.col("value").alias(value), F.col("hit._i").alias(ident), "hit.name", "hit.jaccard")

@@ -79,8 +79,8 @@ def collapse(rows: DataFrame, scope: list[str], text: str, ident: str, hot: int
     ok = F.lit(True)
     for c in scope:
         ok = ok & F.col(c).isNotNull()
-    keyed = rows.where(ok & F.col(text).isNotNull()).select(*scope, F.col(ident).cast("long").alias("id"), format_key(F.col(text)).alias("_form"))
-    keys = cut(keyed.where("_form is not null and id is not null").select(*scope, "id", F.md5(F.to_json(F.struct(*scope, "_form"))).alias("_key")), "forms")
+    keyed = rows.where(ok & F.col(text).isNotNull()).select(*scope, F.col(ident).cast("long").alias("_id"), format_key(F.col(text)).alias("_form"))
+    keys = cut(keyed.where("_form is not null and _id is not null").select(*scope, "_id", F.md5(F.to_json(F.struct(*scope, "_form"))).alias("_key")), "forms")
     parts = partitions_of(spark)
     hot = hot or max(10_000, keys.count() // (4 * parts))
     is_hot = keys.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot).select("_key")
@@ -90,15 +90,15 @@ def collapse(rows: DataFrame, scope: list[str], text: str, ident: str, hot: int
         # bounded as said above; sent as a table, not as a literal list
         marks = spark.createDataFrame([(k,) for k in hot_keys], "_key string")
         cold = keys.join(F.broadcast(marks), "_key", "left_anti")
-    groups = cold.groupBy("_key", *scope).agg(F.sort_array(F.collect_set("id")).alias("ids"))
+    groups = cold.groupBy("_key", *scope).agg(F.sort_array(F.collect_set("_id")).alias("ids"))
     members = groups.where(F.size("ids") > 1).select(*scope, F.element_at("ids", 1).alias("keep_id"), F.explode(F.slice("ids", 2, hot)).alias("copy_id"))
     sets = groups.select(*scope, F.element_at("ids", 1).alias("keep_id"), F.size("ids").cast("long").alias("n_copies"))
     if hot_keys:
-        warm = keys.join(F.broadcast(marks), "_key", "left_semi").withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(parts)))
+        warm = keys.join(F.broadcast(marks), "_key", "left_semi").withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(parts)))
         once = warm.distinct()
-        salted = once.groupBy("_key", "_salt", *scope).agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("n_copies"))
+        salted = once.groupBy("_key", "_salt", *scope).agg(F.min("_id").alias("keep_id"), F.count(F.lit(1)).alias("n_copies"))
         hot_sets = salted.groupBy("_key", *scope).agg(F.min("keep_id").alias("keep_id"), F.sum("n_copies").alias("n_copies"))
         keeps = hot_sets.select("_key", "keep_id")
-        members = members.unionByName(once.join(F.broadcast(keeps), "_key").where("id > keep_id").select(*scope, "keep_id", F.col("id").alias("copy_id")))
+        members = members.unionByName(once.join(F.broadcast(keeps), "_key").where("_id > keep_id").select(*scope, "keep_id", F.col("_id").alias("copy_id")))
         sets = sets.unionByName(hot_sets.select(*scope, "keep_id", "n_copies"))
     return members, sets
