@@ -14,6 +14,8 @@ from tidewell.session import cut
 
 #: Least Jaccard similarity of the token sets (characters and neighbouring pairs).
 SIMILAR = 0.5
+#: Bounds are compared with this much room, as 0.4 / 1.4 * 7 is a little over 2.
+EPS = 1e-9
 #: The list and its tokens are broadcast up to so many entries; a longer one is joined by shuffle.
 SMALL_LIST = 100_000
 #: A word that follows so large a share of all different values, at least, names a branch's place.
@@ -189,20 +191,20 @@ def map_values(values: DataFrame, value: str, listed: DataFrame, ident: str, nam
 
     def prefixes(df: DataFrame, keys: list[str], side: str) -> DataFrame:
         size = F.size("s")
-        long = size - F.ceil(size * F.lit(similar)).cast("int") + 1
+        long = size - F.ceil(size * F.lit(similar) - EPS).cast("int") + 1
         return df.select(*keys, F.col("s").alias(f"s_{side}"), F.posexplode(F.slice("s", F.lit(1), long)).alias(f"p_{side}", "t"))
 
     distinct_cores = left.select("core", "tokens").distinct()
     a = prefixes(ordered(distinct_cores, ["core"]), ["core"], "a")
     b = prefixes(ordered(right.select("entry", "tokens").distinct(), ["entry"]), ["entry"], "b")
     na, nb = F.size("s_a"), F.size("s_b")
-    need = F.ceil(F.lit(similar / (1 + similar)) * (na + nb))
-    joined = a.join(hint(b), "t").where((nb >= na * similar) & (nb <= na / similar))
+    need = F.ceil(F.lit(similar / (1 + similar)) * (na + nb) - EPS)
+    joined = a.join(hint(b), "t").where((nb >= na * similar - EPS) & (nb <= na / similar + EPS))
     # before the two places at most min(p_a, p_b) tokens agree, from them on at most what the shorter rest holds
     joined = joined.where(F.least("p_a", "p_b") + F.least(na - F.col("p_a"), nb - F.col("p_b")) >= need)
     pairs = joined.select("core", "entry", "s_a", "s_b").distinct()
     common = F.size(F.array_intersect("s_a", "s_b"))
-    scored = pairs.withColumn("jaccard", common / (na + nb - common)).where(F.col("jaccard") >= similar)
+    scored = pairs.withColumn("jaccard", common / (na + nb - common)).where(F.col("jaccard") >= similar - EPS)
     distance = F.levenshtein("core", "entry")
     letters = lambda c: F.array_sort(F.split(c, ""))
     swapped = (distance == 2) & (F.length("core") == F.length("entry")) & (letters("core") == letters("entry"))
