@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidewell.session import cut
 
+#: Bounds are compared with this much room for rounding.
+EPS = 1e-9
 
 def ngrams(c: Column, n: int = 2) -> Column:
     """The set of a text's character n-grams; empty for shorter texts, null for null."""
@@ -32,10 +34,10 @@ def similar_pairs(df: DataFrame, key: str, tokens: str, least: float) -> DataFra
     ordered = flat.join(freq, "x").groupBy("k").agg(F.transform(F.array_sort(F.collect_list(F.struct("f", "x"))), lambda s: s["x"]).alias("t"))
     ordered = cut(ordered, "tokens")
     size = F.size("t")
-    prefix = ordered.select("k", size.alias("n"), F.explode(F.slice("t", F.lit(1), size - F.ceil(size * F.lit(least)).cast("int") + 1)).alias("x"))
-    pairs = prefix.select(F.col("k").alias("a"), F.col("n").alias("na"), "x").join(prefix.select(F.col("k").alias("b"), F.col("n").alias("nb"), "x"), "x").where((F.col("a") < F.col("b")) & (F.col("na") >= F.col("nb") * least) & (F.col("nb") >= F.col("na") * least)).select("a", "b").distinct()
+    prefix = ordered.select("k", size.alias("n"), F.explode(F.slice("t", F.lit(1), size - F.ceil(size * F.lit(least) - EPS).cast("int") + 1)).alias("x"))
+    pairs = prefix.select(F.col("k").alias("a"), F.col("n").alias("na"), "x").join(prefix.select(F.col("k").alias("b"), F.col("n").alias("nb"), "x"), "x").where((F.col("a") < F.col("b")) & (F.col("na") >= F.col("nb") * least - EPS) & (F.col("nb") >= F.col("na") * least - EPS)).select("a", "b").distinct()
     side = lambda s: ordered.select(F.col("k").alias(s), F.col("t").alias(f"t{s}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").withColumn("jaccard", jaccard(F.col("ta"), F.col("tb"))).where(F.col("jaccard") >= least).select("a", "b", "jaccard")
+    return pairs.join(side("a"), "a").join(side("b"), "b").withColumn("jaccard", jaccard(F.col("ta"), F.col("tb"))).where(F.col("jaccard") >= least - EPS).select("a", "b", "jaccard")
 
 
 def connected_components(edges: DataFrame, rounds: int = 100) -> DataFrame:
