@@ -14,6 +14,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.session import spread
+
 VOCABULARY = os.path.join(os.environ.get("TIDEWELL_TOKENIZERS", "/opt/tokenizers"), "byte_bpe_50k.tiktoken")
 # Fixed value: the public pattern that cuts a text into words for this vocabulary (\s spelled out as the property).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -118,6 +120,7 @@ def encode_texts(docs: DataFrame, key: str, text: str, path: str = VOCABULARY) -
     No shuffle: each partition is encoded where it is read, with a cache of words.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    rows = spread(rows, "key", "text")
     kind = rows.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.session import cut
+from tidewell.session import cut, spread
 
 #: Least Jaccard similarity of the token sets (characters and neighbouring pairs).
 SIMILAR = 0.5
@@ -180,7 +180,7 @@ def map_values(values: DataFrame, value: str, listed: DataFrame, ident: str, nam
 
     id_type = listed.schema[ident].dataType.simpleString()
     right = entries.mapInPandas(plain, f"_i {id_type}, name string, known string, entry string, tokens array<string>")
-    left = cut(distinct.mapInPandas(forms, "value string, written string, core string, form int, tokens array<string>"), "forms")
+    left = cut(spread(distinct, "value").mapInPandas(forms, "value string, written string, core string, form int, tokens array<string>"), "forms")
     rarity = right.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
     hint = F.broadcast if n_entries <= SMALL_LIST else (lambda d: d)
 

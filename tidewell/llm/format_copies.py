@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_hexdigest
 
-from tidewell.session import cut, partitions_of
+from tidewell.session import cut, partitions_of, spread
 
 _TAG = regex.compile(r"</?[A-Za-z][^<>]*>|<!--.*?-->", regex.S)
 _ENTITY = regex.compile(r"&(?:#\d+|#[xX][0-9a-fA-F]+|\w+);")
@@ -79,7 +79,8 @@ def collapse(rows: DataFrame, scope: list[str], text: str, ident: str, hot: int
     ok = F.lit(True)
     for c in scope:
         ok = ok & F.col(c).isNotNull()
-    keyed = rows.where(ok & F.col(text).isNotNull()).select(*scope, F.col(ident).cast("long").alias("_id"), format_key(F.col(text)).alias("_form"))
+    texts = spread(rows.where(ok & F.col(text).isNotNull()).select(*scope, F.col(ident).cast("long").alias("_id"), F.col(text).alias("_text")), "_id", "_text")
+    keyed = texts.select(*scope, "_id", format_key(F.col("_text")).alias("_form"))
     keys = cut(keyed.where("_form is not null and _id is not null").select(*scope, "_id", F.md5(F.to_json(F.struct(*scope, "_form"))).alias("_key")), "forms")
     parts = partitions_of(spark)
     hot = hot or max(10_000, keys.count() // (4 * parts))

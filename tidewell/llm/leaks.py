@@ -13,6 +13,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.session import spread
+
 #: Items are sent to the tasks in blocks of at most so many tokens, each block one pass over the corpus.
 BLOCK_TOKENS = 2_000_000
 _INVISIBLE = regex.compile(r"[\p{Cf}\p{Mn}&&[͏︀-️]]|\p{Cf}", regex.V1)
@@ -171,6 +173,7 @@ def find_leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item: str
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).where("key is not null and text is not null and text <> ''")
+    rows = spread(rows, "key", "text")
     kinds = rows.schema["key"].dataType.simpleString(), items.schema[item].dataType.simpleString()
     schema = f"key {kinds[0]}, item {kinds[1]}, covered int, size int"
 

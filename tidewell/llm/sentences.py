@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.session import spread
+
 #: A span is compared with others over at most so many places where a sentence could end; longer ones are cut there only.
 REACH = 60
 #: Quotations and brackets of more characters don't hold sentences together.
@@ -254,13 +256,14 @@ def _pieces(text: str, a: int, b: int) -> list[tuple[int, int]]:
         head = lead
     opener = _matched(block)
     body = block[head:]
-    thai = len(_THAI.findall(body))
+    n_letters = sum(map(str.isalnum, body))
+    thai = len(_THAI.findall(body)) if _THAI.search(body) else 0
     has_end = any(c in body for c in _STRONG) or regex.search(r"[.…]", body) is not None and not _CJK.search(body)
-    has_cjk = not thai and len(_CJK.findall(body)) * 2 > len(_LETTER.findall(body))
+    has_cjk = not thai and not body.isascii() and len(_CJK.findall(body)) * 2 > n_letters
     cased = any(c.islower() for c in body) and any(c.isupper() for c in body)
     ends = _candidates(block, head, opener, cased)
     ends += _emoji_ends(block, head, {e[0] for e in ends}, cased)
-    if thai * 2 > len(_LETTER.findall(body)) or (has_cjk and not has_end and not any(c in body for c in "…")):
+    if (thai and thai * 2 > n_letters) or (has_cjk and not has_end and not any(c in body for c in "…")):
         known = {e[1] for e in ends}
         for m in _WHITE.finditer(block, head):
             if m.end() not in known and m.end() < len(block) and block[m.start() - 1] not in ":：":
@@ -268,17 +271,14 @@ def _pieces(text: str, a: int, b: int) -> list[tuple[int, int]]:
     if not ends:
         return [(a + lead, a + len(block))]
     ends.sort()
-    inside = np.zeros(len(block) + 1, np.int32)
+    inside = [0] * (len(block) + 2)
     for close, open_ in opener.items():
         if close - open_ <= LONG_PAIR:
             inside[open_ + 1] += 1
-            inside[close + 1 if close + 1 <= len(block) else close] -= 1
-    depth = np.cumsum(inside)
+            inside[close + 1] -= 1
+    depth = list(accumulate(inside))
     stops = [(lead, lead, 0.0, -1, "")] + ends + [(len(block), len(block), 0.0, -1, "")]
-    letters = np.zeros(len(block) + 1, np.int32)
-    for m in _LETTER.finditer(block):
-        letters[m.start() + 1] = 1
-    letters = np.cumsum(letters)
+    letters = [0, *accumulate(map(str.isalnum, block))]
     best, back = [0.0], [0]
     for j in range(1, len(stops)):
         end, after, closing, opened, closer = stops[j]
@@ -297,7 +297,7 @@ def _pieces(text: str, a: int, b: int) -> list[tuple[int, int]]:
         for i in range(j - 1, max(-1, j - 1 - REACH), -1):
             begin = stops[i][1]
             score = best[i] + fixed
-            n = int(letters[end] - letters[begin])
+            n = letters[end] - letters[begin]
             if n == 0:
                 score -= 8.0  # symbols alone are no sentence
             elif n == 1:
@@ -348,6 +348,7 @@ def sentences(docs: DataFrame, key: str, text: str) -> DataFrame:
     No shuffle: documents are split where they are read.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).where("text is not null and text <> ''")
+    rows = spread(rows, "key", "text")
     kind = rows.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
