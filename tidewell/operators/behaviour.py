@@ -21,11 +21,12 @@ def k_core(df: DataFrame, k: int = 5, user: str = "user_id", item: str = "item_i
     pairs = cut(pairs, "kcore")
     size = pairs.count()
     for _ in range(rounds):
+        # items are counted after the users of the round are gone: the fixpoint is the same, the rounds are fewer
         users = pairs.groupBy("u").agg(F.sum("n").alias("c")).where(F.col("c") >= k).select("u")
-        items = pairs.groupBy("i").agg(F.sum("n").alias("c")).where(F.col("c") >= k).select("i")
-        smaller = cut(pairs.join(users, "u", "left_semi").join(items, "i", "left_semi"), "kcore")
-        left = smaller.count()
-        pairs = smaller
+        kept = pairs.join(users, "u", "left_semi")
+        items = kept.groupBy("i").agg(F.sum("n").alias("c")).where(F.col("c") >= k).select("i")
+        pairs = cut(kept.join(items, "i", "left_semi"), "kcore")
+        left = pairs.count()
         if left in (size, 0):
             break
         size = left

@@ -54,6 +54,15 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """A scan's rows over enough tasks for work that is heavy a row: by a hash of the columns if the scan has fewer than two tasks a core, else as they lie.
+
+    A large table has many splits and is never shuffled here; a few small files would leave most cores idle.
+    """
+    want = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= want else df.repartition(want, *columns)
+
+
 def drop_cuts() -> None:
     """Remove every table that cut() wrote."""
     while _made:
