@@ -83,6 +83,9 @@ def test_dedup(spark, rows):
     assert rows(dedup.drop_repeats(df)) == [("u", "A", 1), ("u", "A", 4), ("u", "B", 3), ("v", "A", 1)]
     assert rows(dedup.drop_repeats(df, keep="last"), "user_id", "timestamp") == [("u", 2), ("u", 3), ("u", 4), ("v", 3)]
     assert dedup.drop_all_repeats(df).count() == 4
+    long = spark.createDataFrame([("hot" if k % 4 else None, "AB"[k // 5 % 2] if k % 97 else None, k * 37 % 1_009) for k in range(1_000)], "user_id string, item_id string, timestamp long")
+    for keep in ("first", "last"):
+        assert rows(dedup.drop_repeats(long, keep=keep, spread=True)) == rows(dedup.drop_repeats(long, keep=keep, spread=False))
     assert rows(dedup.deduplicate(df, "item_id", ["timestamp"]), "item_id", "timestamp") == [("A", 1), ("B", 3), (None, 2)]
     assert dedup.deduplicate(df, ["user_id", "item_id"]).count() == 4
     assert dedup.deduplicate(df, "none").count() == 7 and dedup.deduplicate(df.union(df)).count() == 7

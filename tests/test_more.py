@@ -339,3 +339,57 @@ def test_streaming(spark, tmp_path):
     batch = spark.createDataFrame([("u1", "i", 0), ("u1", "i", 60), ("u2", "i", 400), ("u1", "i", 9_000)], "user_id string, item_id string, timestamp long")
     assert sorted((r.n, r.users) for r in stream.windowed_counts(batch).collect()) == [(1, 1), (1, 1), (2, 1)]
     assert sorted((r.user_id, r.n) for r in stream.stream_sessions(batch).collect()) == [("u1", 1), ("u1", 2), ("u2", 1)]
+
+
+def test_answers_and_assembly(spark):
+    df = spark.createDataFrame([('{"brand": ["A", "B"], "taste": "hot", "category": "null", "occasion": ["x", ""]}', "A"), ("broken", None), (None, "A")], "answer string, brnd_nm string")
+    got = df.select("brnd_nm", tags.parse_answer(F.col("answer")).alias("t")).select("brnd_nm", "t.*")
+    rows = got.collect()
+    assert rows[0].brand == "A" and rows[0].taste == ["hot"] and rows[0].category is None and rows[0].occasion == ["x"] and rows[1].brand is None and rows[2].taste is None
+    s = [r.tag_source for r in tags.assemble(got, {"brand": ["brnd_nm"]}).collect()]
+    assert s[0].brand == "raw" and s[0].taste == "ai" and s[0].category == "missing" and s[1].brand == "missing"
+    assert [r[0] for r in got.select(tags.is_cold_start(got)).collect()] == [False, True, True]
+    seen = spark.createDataFrame([("A Co.", "s")] * 12 + [("A", "t")] + [("B", "t")], "value string, source string")
+    run = tags.extract({"brand": seen, "taste": seen}, spark.createDataFrame([("brand", "Z"), ("taste", "B")], "dim string, value string"))
+    assert {(r.value, r.status) for r in run["brand"]["diff"].collect()} == {("A", "added"), ("Z", "removed")}
+
+
+def test_invented_dialogues(spark):
+    shops = corpus.synthesize_shops(spark, 20, {"category": ["tea", "noodles"], "taste": ["hot"]})
+    assert sorted(shops.collect()) == sorted(corpus.synthesize_shops(spark, 20, {"category": ["tea", "noodles"], "taste": ["hot"]}).repartition(3).collect())
+    plan = corpus.plan_samples(shops, "item_id", 2, {"gift": 1, "meal": 1}, {"browse": 1}, negative=0.5).join(shops, "item_id")
+    made = corpus.template_dialogues(plan, {"gift": ["a {category} gift please"], "meal": ["{taste} {category}, now", "some {category}"]}, ["category", "taste"])
+    assert made.count() == 40 and made.where(F.col("messages")[0]["content"].contains("{")).count() == 0
+    assert {r.op for r in made.select(F.col("params")["category"][0]["op"].alias("op"), "negative").collect() if r.negative} == {"not_in"}
+    tagged = spark.createDataFrame([("shop-000001", "taste", "hot"), ("shop-000001", "brand", "x")], "item_id string, dim string, value string")
+    assert [tuple(r) for r in corpus.uncovered_dims(made, tagged).collect()] == [("shop-000001", "brand")]
+    assert corpus.diversity(made).first().n == 40
+
+
+def test_memory_source_and_cli(spark, tmp_path, capsys):
+    from tidewell import cli
+
+    inter = spark.createDataFrame([("u", "i", 1, "view"), ("u", "j", 2, "view"), ("v", "i", 3, "click")], "user_id string, item_id string, timestamp long, action string")
+    m = sources.create("memory", spark, {"interactions": inter})
+    assert m.get_users().count() == 2 and m.get_items().count() == 2 and m.get_co_occurrence() is None
+    with pytest.raises(ValueError):
+        sources.create("memory", spark).get_interactions()
+    sinks.write(inter, f"{tmp_path}/in", "interactions")
+    (tmp_path / "c.json").write_text(json.dumps({"input": f"{tmp_path}/in", "output": f"{tmp_path}/out", "pipeline": {"filters": {"kcore": {"k": 9}}}, "detectors": {"item_popularity_anomaly": {"least": 2}, "user_velocity_anomaly": {}}, "audit": {"interactions": {"keys": ["user_id"]}}}))
+    assert cli.main(["run", "--config", f"{tmp_path}/c.json", "--set", "pipeline.filters.kcore.k=1"], spark) == 0
+    assert json.loads(capsys.readouterr().out.splitlines()[-1]) == {"input": 3, "kcore": 3}
+    for command in ("ingest", "campaign", "check"):
+        assert cli.main([command, "--config", f"{tmp_path}/c.json"], spark) == 0
+    assert spark.read.option("header", True).csv(f"{tmp_path}/out/user_flags.csv").count() == 2
+    spark.createDataFrame([(5.0, "t", "x", "p", "u", 1, 0, "true")], "rating double, title string, text string, parent_asin string, user_id string, timestamp long, helpful_vote int, verified_purchase string").write.json(f"{tmp_path}/r")
+    (tmp_path / "a.json").write_text(json.dumps({"input": f"{tmp_path}/r", "output": f"{tmp_path}/an"}))
+    assert cli.main(["analyze", "--config", f"{tmp_path}/a.json"], spark) == 0 and json.loads(capsys.readouterr().out.splitlines()[-1])["errors"] == {}
+
+
+def test_review_forms(spark):
+    from tidewell.sources import files
+
+    old = spark.createDataFrame([(4.0, "s", "t", "u", "a", 10, "True", "N", "01 1, 1970")], "overall float, summary string, reviewText string, reviewerID string, asin string, unixReviewTime int, verified string, reviewerName string, reviewTime string")
+    r = files.old_as_new(old).first()
+    assert r.timestamp == 10_000 and r.verified_purchase == "true" and r.parent_asin == "a" and r.helpful_vote == 0
+    assert files.legacy_names(old).first().product_id == "a" and "review_text" in files.legacy_names(old).columns

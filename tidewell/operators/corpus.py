@@ -244,3 +244,42 @@ def jsonl(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
         t = df.schema[c].dataType.typeName()
         cols.append(F.when(~F.isnan(c) & (F.abs(c) != float("inf")), F.col(c)).alias(c) if t in ("double", "float") else F.col(c))
     return df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("value"))
+
+
+def value_coverage(df: DataFrame, values: DataFrame, least: int = 5) -> DataFrame:
+    """(dim, value, n, covered) for each dictionary value (dim, value): in how many samples' params it occurs."""
+    flat = df.select("seq", F.explode("params").alias("dim", "ps")).where("ps is not null").select("seq", "dim", F.explode("ps").alias("p")).select("seq", "dim", F.explode("p.values").alias("value")).distinct()
+    seen = flat.groupBy("dim", "value").agg(F.count(F.lit(1)).alias("n"))
+    return values.select("dim", "value").distinct().join(seen, ["dim", "value"], "left").na.fill(0, ["n"]).withColumn("covered", F.col("n") >= least)
+
+
+def uncovered_dims(df: DataFrame, tags: DataFrame, key: str = "item_id") -> DataFrame:
+    """(key, dim): dimensions with a tag (key, dim, value) that none of the item's samples asks for."""
+    asked = df.select(key, F.explode("params").alias("dim", "ps")).where("ps is not null").select(key, "dim").distinct()
+    return tags.select(key, "dim").distinct().join(asked, [key, "dim"], "left_anti")
+
+
+def diversity(df: DataFrame, least: int = 200, per: int = 1_000) -> DataFrame:
+    """One row: samples, different params, whether there are `least` in `per` samples."""
+    one = df.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(F.to_json(F.array_sort(F.map_entries("params")))).alias("combinations"))
+    return one.withColumn("passed", F.col("combinations") * per >= F.least(F.col("n"), F.lit(per)) * least)
+
+
+def synthesize_shops(spark, n: int, vocabulary: dict[str, list[str]], seed: int = 42) -> DataFrame:
+    """n invented shops with a value of each dimension, the same for every run and layout."""
+    rows = spark.range(n).select(F.format_string("shop-%06d", F.col("id")).alias("item_id"))
+    return rows.select("item_id", *(weighted_choice(dict.fromkeys(vs, 1.0), draw("item_id", F.lit(d), seed=seed)).alias(d) for d, vs in vocabulary.items()))
+
+
+def template_dialogues(plan: DataFrame, templates: dict[str, list[str]], dims: list[str], key: str = "item_id", seed: int = 42) -> DataFrame:
+    """Dialogues for planned samples (plan_samples joined with the items' dimensions) from templates a scenario, with params; negative samples exclude the first dimension's value."""
+    chosen = None
+    for scenario, ts in templates.items():
+        pick = weighted_choice(dict.fromkeys(ts, 1.0), draw(key, "n", F.lit("template"), seed=seed))
+        chosen = F.when(F.col("scenario") == scenario, pick) if chosen is None else chosen.when(F.col("scenario") == scenario, pick)
+    text = chosen
+    for d in dims:
+        text = F.replace(text, F.lit("{" + d + "}"), F.coalesce(F.col(d), F.lit("")))
+    op = lambda d: F.when(F.col("negative") & F.lit(d == dims[0]), "not_in").otherwise("in")
+    params = F.map_from_arrays(F.array(*map(F.lit, dims)), F.array(*(F.when(F.col(d).isNotNull(), F.array(F.struct(op(d).alias("op"), F.array(d).alias("values")))) for d in dims)))
+    return plan.select(key, "n", "scenario", "intent", "negative", F.array(F.struct(F.lit("user").alias("role"), text.alias("content"))).alias("messages"), params.alias("params"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.contracts import has
+from tidewell.operators.ranking import with_previous
 
 TIME_COLUMNS = ("timestamp", "review_time", "time")
 
@@ -31,18 +32,18 @@ def deduplicate(df: DataFrame, key: str | list[str] | None = None, order_by: lis
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
-def drop_repeats(df: DataFrame, user: str = "user_id", item: str = "item_id", keep: str = "first", tie: tuple[str, ...] = ()) -> DataFrame:
+def drop_repeats(df: DataFrame, user: str = "user_id", item: str = "item_id", keep: str = "first", tie: tuple[str, ...] = (), spread: bool | None = None) -> DataFrame:
     """Per user in time order (keep='last': backwards) the rows whose item equals the row's before go: run-length deduplication.
 
     A row with a null item, or after one, goes unless it is the user's first, as a null equals nothing and differs from nothing. Equal times are ordered by `tie` and item.
+    A user with far more than a task's share of rows is spread over tasks (see with_previous).
     """
     time = next((c for c in TIME_COLUMNS if c in df.columns), None)
     if not has(df, user, item, what="drop_repeats") or time is None:
         return df
-    direction = F.asc if keep == "first" else F.desc
-    w = Window.partitionBy(user).orderBy(direction(time), *(F.asc(c) for c in tie), F.asc(item))
-    out = df.withColumn("_n", F.row_number().over(w)).withColumn("_before", F.lag(item).over(w))
-    return out.where((F.col("_n") == 1) | (F.col("_before") != F.col(item))).drop("_n", "_before")
+    order = [(F.asc if keep == "first" else F.desc)(time), *(F.asc(c) for c in tie), F.asc(item)]
+    out = with_previous(df, [user], order, item, "_before", "_later", spread)
+    return out.where(~F.col("_later") | (F.col("_before") != F.col(item))).drop("_before", "_later")
 
 
 def drop_all_repeats(df: DataFrame, user: str = "user_id", item: str = "item_id", keep: str = "first", tie: tuple[str, ...] = ()) -> DataFrame:

@@ -148,3 +148,12 @@ def embedding_pairs(df: DataFrame, key: str, vector: str, least: float = 0.85, r
     dot = F.aggregate(F.zip_with("va", "vb", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     near = full.withColumn("cosine", dot).where(F.col("cosine") >= least).select("a", "b", "cosine").unionByName(copies)
     return near.withColumn("confidence", F.when(F.col("cosine") >= 0.85, "high").otherwise("low"))
+
+
+def build(parts: list[DataFrame], antonyms: DataFrame, most: int = 10_000) -> DataFrame:
+    """Groups of all sources as one set: cleaned to size, equal ones united, overlapping ones merged, those with an antonym pair left out, the best `most`."""
+    one = parts[0]
+    for p in parts[1:]:
+        one = one.unionByName(p)
+    merged = merge_overlapping(dedup_groups(length_filter(one)))
+    return truncate(filter_antonyms(length_filter(merged), antonyms), most)

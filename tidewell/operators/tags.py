@@ -210,3 +210,48 @@ def title_tags(title: Column, rules: dict[str, dict[str, str]]) -> Column:
 
 def party_size(n: Column) -> Column:
     return F.when(n == 1, "1").when(n == 2, "2").when(n.between(3, 4), "3-4").when(n.between(5, 8), "5-8").when(n >= 9, "9+")
+
+
+SCALARS, ARRAYS = ("category", "consumable_type", "brand", "avg_prc", "distance"), ("occasion", "taste")
+
+
+def parse_answer(answer: Column) -> Column:
+    """struct of the dimensions from a model's JSON: a list for a scalar gives its first value, a text for an array a list of one, blanks and 'null' give null."""
+    blank = lambda c: F.when(~F.trim(c).isin("", "null", "None"), F.trim(c))
+    raw = lambda d: F.get_json_object(answer, f"$.{d}")
+    listed = lambda d: F.from_json(raw(d), "array<string>")
+    is_list = lambda d: F.coalesce(F.startswith(F.ltrim(raw(d)), F.lit("[")), F.lit(False))
+    scalar = lambda d: blank(F.when(is_list(d), F.get(listed(d), F.lit(0))).otherwise(raw(d)))
+    many = lambda d: F.filter(F.transform(F.when(is_list(d), listed(d)).otherwise(F.array(raw(d))), blank), lambda v: v.isNotNull())
+    return F.struct(*(scalar(d).alias(d) for d in SCALARS), *(F.when(F.size(many(d)) > 0, many(d)).alias(d) for d in ARRAYS))
+
+
+def assemble(df: DataFrame, raw: dict[str, list[str]]) -> DataFrame:
+    """df with tag_source: the origin of each dimension it has - missing without a tag (but distance: geo or missing, as given), raw if equal to one of the raw columns, else ai."""
+    origins = []
+    for d in DIMENSIONS:
+        if d not in df.columns or d == "distance":
+            continue
+        same = [F.col(c) for c in raw.get(d, []) if c in df.columns] if d not in ARRAYS else []
+        origins.append(F.when(~_present(df, d), "missing").otherwise(tag_origin(F.col(d) if d not in ARRAYS else F.lit("x"), same)).alias(d))
+    return df.withColumn("tag_source", F.struct(*origins))
+
+
+def extract(observed: dict[str, DataFrame], dictionary: DataFrame, least: int = 10) -> dict[str, dict[str, DataFrame]]:
+    """The whole vocabulary run. observed: dimension -> (value, source); dictionary: (dim, value).
+
+    Brands are grouped by edits and bigrams, categories by bigrams, other dimensions by their cleaned form; each gives its
+    groups, the canonical values with frequency, and the difference to the dictionary.
+    """
+    out = {}
+    for dim, df in observed.items():
+        names = aggregate_raw(df, "value", "source").select("name", "frequency")
+        if dim == "brand":
+            groups = group_names(names)
+        elif dim == "category":
+            groups = group_names(names, None, clean=clean_category)
+        else:
+            groups = names.select(clean_label(F.col("name")).alias("canonical"), "name", "frequency").where("canonical <> ''")
+        total = groups.groupBy(F.col("canonical").alias("value")).agg(F.sum("frequency").alias("frequency"))
+        out[dim] = {"groups": groups, "values": total, "diff": vocabulary_diff(total, dictionary.where(F.col("dim") == dim).select("value"), least)}
+    return out

@@ -13,7 +13,7 @@ from tidewell.plans import derivations
 from tidewell.plans.pipeline import Pipeline, cleaning_report
 from tidewell.plans.reference_queries import E_SQL, events
 from tidewell.session import table
-from tidewell.sources import warehouse
+from tidewell.sources import files, warehouse
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -318,3 +318,28 @@ def pipeline_interactions(spark, d):
 def pipeline_report(spark, d):
     e = events(spark, d)
     return cleaning_report(e, Pipeline(_PIPE).process(None, None, e)["interactions"])
+
+
+@query("SELECT review_id, overall AS rating, CAST(unixReviewTime AS BIGINT) * 1000 AS \"timestamp\", CASE WHEN lower(verified) = 'true' THEN 'true' ELSE 'false' END AS verified_purchase FROM amazon_old_review")
+def source_old_as_new(spark, d):
+    old = table(spark, d, "amazon_old_review").withColumn("asin", F.col("review_id").cast("string"))
+    return files.old_as_new(old).select(F.col("asin").cast("long").alias("review_id"), "rating", "timestamp", "verified_purchase")
+
+
+@query(f"WITH {_DIALOGUE_SQL}, v(dim, value) AS (VALUES ('brand', 'en'), ('brand', 'zh'), ('brand', 'xx'), ('taste', 'en')) SELECT dim, value, CAST(CASE WHEN dim = 'brand' THEN (SELECT count(*) FROM dl WHERE lg = value) ELSE 0 END AS BIGINT) AS n, CASE WHEN dim = 'brand' THEN (SELECT count(*) FROM dl WHERE lg = value) ELSE 0 END >= 5 AS covered FROM v")
+def corpus_value_coverage(spark, d):
+    values = spark.createDataFrame([("brand", "en"), ("brand", "zh"), ("brand", "xx"), ("taste", "en")], "dim string, value string")
+    return corpus.value_coverage(dialogues(spark, d), values)
+
+
+@query(f"WITH {_DIALOGUE_SQL} SELECT CAST(seq AS VARCHAR) AS item_id, 'brand' AS dim FROM dl WHERE lg = ''")
+def corpus_uncovered(spark, d):
+    rows = dialogues(spark, d).withColumn("item_id", F.col("seq").cast("string"))
+    return corpus.uncovered_dims(rows, rows.select("item_id", F.lit("brand").alias("dim"), F.lit("x").alias("value")))
+
+
+@query()
+def synonym_build(spark, d):
+    """All sources of groups as one set without antonyms."""
+    a = synonyms.groups_from_pairs(table(spark, d, "brand_list"), "brand_nm", "alias_nm", "rule")
+    return synonyms.build([a, synonym_ngram(spark, d).select(a.columns)], spark.createDataFrame([("热", "冷")], "a string, b string"))

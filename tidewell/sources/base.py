@@ -105,3 +105,28 @@ def mapped(c: Column, table: dict[str, str], default: Column) -> Column:
     if not table:
         return default
     return F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in table.items() for x in kv)), c), default)
+
+
+@register("memory")
+class Memory(Source):
+    """Tables that are already frames, for tests and for chaining runs. config: users, items, interactions, co_occurrence; users and items are derived where they are missing."""
+
+    def load_interactions(self) -> DataFrame:
+        self.need("interactions")
+        return self.config["interactions"]
+
+    def load_users(self) -> DataFrame:
+        given = self.config.get("users")
+        return given if given is not None else self.get_interactions().select("user_id").where("user_id is not null").distinct()
+
+    def load_items(self) -> DataFrame:
+        given = self.config.get("items")
+        return given if given is not None else self.get_interactions().select("item_id").where("item_id is not null").distinct()
+
+    def load_co_occurrence(self) -> DataFrame | None:
+        return self.config.get("co_occurrence")
+
+    def need(self, *keys: str) -> None:
+        missing = [k for k in keys if self.config.get(k) is None]
+        if missing:
+            raise ValueError(f"Memory needs {', '.join(missing)}")

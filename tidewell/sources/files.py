@@ -246,3 +246,19 @@ class ExternalCoupons(_Trades):
         if not self.config.get("trades_path"):
             return self.spark.createDataFrame([], "item_id string, item_title string")
         return super().load_items()
+
+
+def old_as_new(df: DataFrame) -> DataFrame:
+    """Reviews of the old form in the new form's columns: ms, 'true' / 'false', no votes, the product as its own parent."""
+    return df.select(
+        F.col("overall").alias("rating"), F.col("summary").alias("title"), F.col("reviewText").alias("text"), F.lit(None).cast("string").alias("images"), "asin", F.col("asin").alias("parent_asin"),
+        F.col("reviewerID").alias("user_id"), (F.col("unixReviewTime").cast("long") * 1000).alias("timestamp"), F.lit(0).alias("helpful_vote"),
+        F.when(F.lower(F.col("verified").cast("string")) == "true", "true").otherwise("false").alias("verified_purchase"),
+    )
+
+
+def legacy_names(df: DataFrame) -> DataFrame:
+    """Reviews of either form under the legacy cleaner's names: product_id, user_id, rating, review_text, review_title, timestamp in seconds."""
+    new = df if "parent_asin" in df.columns else old_as_new(df)
+    out = new.withColumnsRenamed({"text": "review_text", "title": "review_title"}).withColumn("product_id", F.coalesce("parent_asin", "asin"))
+    return out.withColumn("timestamp", to_seconds(F.col("timestamp"))).drop("parent_asin", "asin", "images")
