@@ -143,7 +143,7 @@ def synonym_brands(spark, d):
     return synonyms.groups_from_pairs(table(spark, d, "brand_list"), "brand_nm", "alias_nm", "rule").select("group_id", "canonical", "variants")
 
 
-@query(f"SELECT count(*) AS groups, 2.0 AS avg_size, 2 AS max_size, CAST(2 * count(*) AS BIGINT) AS tokens, 0 AS multi_source FROM ({_PAIRS_SQL})")
+@query(f"SELECT count(*) AS groups, CAST(2 AS DOUBLE) AS avg_size, 2 AS max_size, CAST(2 * count(*) AS BIGINT) AS tokens, CAST(0 AS BIGINT) AS multi_source FROM ({_PAIRS_SQL})")
 def synonym_stats(spark, d):
     return synonyms.synonym_stats(synonyms.groups_from_pairs(table(spark, d, "brand_list"), "brand_nm", "alias_nm", "rule"))
 
@@ -244,7 +244,7 @@ def corpus_plan(spark, d):
     return corpus.plan_samples(items, "item_id", 3, {"gift": 0.5, "meal": 0.3, "party": 0.2}, {"search_item": 0.7, "browse": 0.3})
 
 
-@query("SELECT to_json({'doc_id': doc_id, 'lang': lang, 'n_chars': n_chars}) AS value FROM documents")
+@query("SELECT CAST(to_json({'doc_id': doc_id, 'lang': lang, 'n_chars': n_chars}) AS VARCHAR) AS value FROM documents")
 def corpus_lines(spark, d):
     return corpus.jsonl(table(spark, d, "documents"), ["doc_id", "lang", "n_chars"])
 

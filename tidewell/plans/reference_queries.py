@@ -392,8 +392,8 @@ _ANALYZER_SQL = {
     "product_rating_stats": "SELECT parent_asin, max(rating) AS max_rating, min(rating) AS min_rating, round(avg(rating), 6) AS avg_rating, count(*) AS rating_count, quantile_disc(rating, 0.5) AS median_rating FROM rv GROUP BY 1",
     "rating_by_time": "SELECT review_year_month, round(avg(rating), 6) AS avg_rating, count(*) AS review_count, max(rating) AS max_rating, min(rating) AS min_rating FROM rv GROUP BY 1",
     "rating_distribution": "SELECT floor(a * 2) / 2 AS rating_bucket, count(*) AS product_count FROM (SELECT avg(rating) AS a FROM rv GROUP BY parent_asin) GROUP BY 1",
-    "review_length_stats": "SELECT parent_asin, round(avg(text_length), 6) AS avg_length, max(text_length) AS max_length, min(text_length) AS min_length, count(*) AS review_count FROM rv GROUP BY 1",
-    "title_length_stats": "SELECT parent_asin, round(avg(title_length), 6) AS avg_length, max(title_length) AS max_length, min(title_length) AS min_length, count(*) AS review_count FROM rv GROUP BY 1",
+    "review_length_stats": "SELECT parent_asin, round(avg(text_length), 6) AS avg_length, CAST(max(text_length) AS INT) AS max_length, CAST(min(text_length) AS INT) AS min_length, count(*) AS review_count FROM rv GROUP BY 1",
+    "title_length_stats": "SELECT parent_asin, round(avg(title_length), 6) AS avg_length, CAST(max(title_length) AS INT) AS max_length, CAST(min(title_length) AS INT) AS min_length, count(*) AS review_count FROM rv GROUP BY 1",
     "verified_purchase_comparison": "SELECT is_verified, round(avg(rating), 6) AS avg_rating, count(*) AS review_count, quantile_disc(rating, 0.5) AS median_rating, round(stddev_samp(rating), 6) AS stddev_rating, CASE WHEN is_verified THEN 'verified' ELSE 'unverified' END AS label FROM rv GROUP BY 1",
     "first_vs_subsequent_review": "SELECT n = 1 AS is_first_review, round(avg(rating), 6) AS avg_rating, count(*) AS review_count, quantile_disc(rating, 0.5) AS median_rating FROM num GROUP BY 1",
     "weekday_rating": "SELECT review_weekday, round(avg(rating), 6) AS avg_rating, count(*) AS review_count FROM rv GROUP BY 1",
@@ -430,7 +430,7 @@ def reviews_summary(spark, d):
     return reviews.summary(table(spark, d, "amazon_new_review"))
 
 
-@query("SELECT CASE WHEN length(text) >= 300 THEN 31 ELSE length(text) // 10 + 1 END AS bin, round((CASE WHEN length(text) >= 300 THEN 31 ELSE length(text) // 10 + 1 END - 1) * 10.0, 3) AS low, round((CASE WHEN length(text) >= 300 THEN 31 ELSE length(text) // 10 + 1 END) * 10.0, 3) AS high, count(*) AS n FROM amazon_new_review WHERE text IS NOT NULL GROUP BY 1, 2, 3")
+@query("SELECT bin, CAST((bin - 1) * 10 AS DOUBLE) AS low, CAST(bin * 10 AS DOUBLE) AS high, count(*) AS n FROM (SELECT CAST(CASE WHEN length(text) >= 300 THEN 31 ELSE length(text) // 10 + 1 END AS INT) AS bin FROM amazon_new_review WHERE text IS NOT NULL) GROUP BY 1")
 def reviews_histogram(spark, d):
     return _rounded(reviews.histogram(review_rows(spark, d), "text_length", 0, 300, 30), "low", "high")
 
