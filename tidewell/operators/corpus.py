@@ -220,7 +220,7 @@ def oversample(df: DataFrame, column: str, least: float = 0.03, times: int = 2)
     """Rows of classes under `least` of all repeated `times` times."""
     small = shares(df, column, "_c").where(F.col("n").isNotNull()).select("_c", "share")
     n = F.when(F.col("share") < least, times).otherwise(1)
-    return df.join(F.broadcast(small), F.equal_null(df[column], F.col("_c")), "left").withColumn("_i", F.explode(F.sequence(F.lit(1), n))).select(df.columns)
+    return df.join(small, F.equal_null(df[column], F.col("_c")), "left").withColumn("_i", F.explode(F.sequence(F.lit(1), n))).select(df.columns)
 
 
 def rerank(df: DataFrame, by: str, exclude: DataFrame | None = None, key: str = "item_id", k: int = 10, hot: DataFrame | None = None) -> DataFrame:

@@ -88,11 +88,14 @@ def greedy_groups(ranked: DataFrame, pairs: DataFrame, rounds: int = 1000) -> Da
 
 
 def contains_join(names: DataFrame, key: str, name: str, values: DataFrame, value: str) -> DataFrame:
-    """(key, value): values that occur in a name, found by an equi-join on their first two characters, not by comparing all with all."""
+    """(key, value): values that occur in a name, found by an equi-join on their first two characters, not by comparing all with all.
+
+    Every place of a name gives the piece that the longest value could take, so a long text is read once, not once a place. Null and empty values and names give nothing.
+    """
     v = values.select(F.col(value).alias("v")).where("v is not null and v <> ''").distinct().withColumn("_p", F.substring("v", 1, 2))
+    longest = v.agg(F.coalesce(F.max(F.length("v")), F.lit(0)).alias("m")).first().m
     n = names.select(F.col(key).alias("k"), F.col(name).alias("n")).where("n is not null and n <> ''")
-    at = n.select("k", "n", F.explode(F.sequence(F.lit(1), F.length("n"))).alias("i"))
-    two = at.withColumn("_p", F.expr("substring(n, i, 2)"))
-    one = at.withColumn("_p", F.expr("substring(n, i, 1)"))
-    spots = two.unionByName(one)
-    return spots.join(v, "_p").where(F.expr("substring(n, i, length(v)) = v")).select(F.col("k").alias(key), F.col("v").alias(value)).distinct()
+    pieces = n.select("k", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("n")), lambda i: F.substring("n", i, F.lit(max(1, longest)))))).alias("x"))
+    two = pieces.withColumn("_p", F.substring("x", 1, 2))
+    one = pieces.withColumn("_p", F.substring("x", 1, 1))
+    return two.unionByName(one).join(v, "_p").where(F.startswith("x", F.col("v"))).select(F.col("k").alias(key), F.col("v").alias(value)).distinct()
