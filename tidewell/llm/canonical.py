@@ -18,6 +18,8 @@ SIMILAR = 0.5
 EPS = 1e-9
 #: The list and its tokens are broadcast up to so many entries; a longer one is joined by shuffle.
 SMALL_LIST = 100_000
+#: Cities and kinds of shops, at most.
+MOST_WORDS = 50_000
 #: A word that follows so large a share of all different values, at least, names a branch's place.
 PLACE_SHARE = 0.002
 
@@ -34,6 +36,8 @@ _SEPARATOR = regex.compile(r"[\s()\[\]【】《》〈〉「」『』“”\"'’
 _STRONG = regex.compile(r"[()\[\]【】《》「」“”\"·・•/\\|、\-–—]+")
 _SYMBOL = regex.compile(r"[^\p{L}\p{N}]+")
 _BRANCH = regex.compile(r"^(.*?)(?:\d+号?)?(?:分店|总店|店)?$")
+_NUMBERED = regex.compile(r"^(.*?)(\d*号?(?:分店|总店|店)?)$")
+_LISTED = regex.compile(r"^\d{1,2}(?=\D{3})")
 _CJK = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 _SCRIPTS = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]+|[^\p{Han}\p{Hiragana}\p{Katakana}]+")
 
@@ -89,7 +93,7 @@ def cores(value: str, cities: set[str], places: set[str], kinds: set[str]) -> li
                         if seg.startswith(p) and len(seg) > len(p) + 1:
                             seg = seg[len(p) :]
                             break
-                    seg = regex.sub(r"^\d{1,2}(?=\D{3})", "", seg)  # a number of the list it was copied from
+                    seg = _LISTED.sub("", seg)  # a number of the list it was copied from
                     break
             for w in _NOISE:
                 if seg.endswith(w) and len(seg) > len(w) + 1:
@@ -98,7 +102,7 @@ def cores(value: str, cities: set[str], places: set[str], kinds: set[str]) -> li
                 for w in kinds:
                     if seg.endswith(w) and len(seg) > len(w) + 2:
                         seg = seg[: -len(w)]
-            tail = regex.match(r"^(.*?)(\d*号?(?:分店|总店|店)?)$", seg)
+            tail = _NUMBERED.match(seg)
             for p in places:
                 if tail[1].endswith(p) and len(tail[1]) > len(p) + 1 and tail[2]:
                     seg = tail[1][: -len(p)]
@@ -140,6 +144,14 @@ def branch_places(values: DataFrame, value: str) -> list[str]:
     return [r[0] for r in found.select("w").collect()]
 
 
+def _few(words: DataFrame) -> list[str]:
+    """The different words of a one-column table, which go into every task; ValueError beyond MOST_WORDS."""
+    found = [r[0] for r in words.distinct().limit(MOST_WORDS + 1).collect() if r[0]]
+    if len(found) > MOST_WORDS:
+        raise ValueError(f"more than {MOST_WORDS} words to strip: this is no column of cities or kinds")
+    return found
+
+
 def map_values(values: DataFrame, value: str, listed: DataFrame, ident: str, names: list[str], cities: DataFrame | None = None, kind: str | None = None, similar: float = SIMILAR) -> DataFrame:
     """(value, ident, name, jaccard): one row for each different value; ident is null where the list doesn't hold it.
 
@@ -155,10 +167,9 @@ def map_values(values: DataFrame, value: str, listed: DataFrame, ident: str, nam
     """
     distinct = values.select(F.col(value).alias("value")).where(F.col("value").isNotNull() & F.col("value").rlike(r"(?U)\S")).distinct()
     distinct = cut(distinct, "typed")
-    # the words to strip: cities and kinds are as many as there are, but bounded by their columns' meaning
     place_words = branch_places(distinct, "value")
-    city_words = [r[0] for r in cities.distinct().collect() if r[0]] if cities is not None else []
-    kind_words = [r[0] for r in listed.select(kind).distinct().collect() if r[0]] if kind else []
+    city_words = _few(cities) if cities is not None else []
+    kind_words = _few(listed.select(kind)) if kind else []
     entries = listed.select(F.col(ident).alias("_i"), F.explode(F.array(*names)).alias("name")).where("name is not null").distinct()
     n_entries = entries.count()
     city_set = {fold(c).removesuffix("市") for c in city_words}
