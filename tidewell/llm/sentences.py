@@ -45,6 +45,7 @@ _STRONG = "。！？!?।॥؟۔｡！？‼⁇⁈⁉።"
 _CLOSER = "”’」』»›）)］]】〉》〕｣\"'"
 _END = regex.compile(rf"[{_STRONG}.．…⋯]+(?:[{_SPACE}]*[{_STRONG}]+)*")
 _TAIL = regex.compile(rf"(?:[{regex.escape(_CLOSER)}]|[    ](?=[»›])|[{_SPACE}]*{_EMOJI}+(?:[{_STRONG}.．…]+)?)*")
+_FLAGS = {"\U0001F3F4", *map(chr, range(0x1F1E6, 0x1F200))}
 _ONLY_EMOJI = regex.compile(rf"{_EMOJI}+")
 _PAIRS = {"“": "”", "「": "」", "『": "』", "«": "»", "‹": "›", "（": "）", "(": ")", "［": "］", "[": "]", "【": "】", "〈": "〉", "《": "》", "〔": "〕", "｢": "｣", "„": "“"}
 _BRACKETS = {"）", ")", "］", "]", "】", "〕"}
@@ -239,6 +240,8 @@ def _emoji_ends(text: str, start: int, taken: set[int], cased: bool) -> list[tup
             score = -3.0
         else:
             score = 1.0 if spaced else -1.5
+        if m[0][0] in _FLAGS:  # a flag is named rather than felt
+            score -= 2.5
         out.append((m.end(), after, score, -1, ""))
     return out
 
