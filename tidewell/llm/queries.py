@@ -116,6 +116,10 @@ c AS (SELECT shop, count(*) AS k FROM d GROUP BY 1),
 p AS (SELECT x.shop AS a, y.shop AS b, count(*) AS k FROM d x JOIN d y ON x.who = y.who AND x.day = y.day AND x.shop < y.shop GROUP BY 1, 2 HAVING count(*) >= 4)
 SELECT {{}} FROM p JOIN c ca ON ca.shop = a JOIN c cb ON cb.shop = b, n WHERE p.k * n.n >= 5 * ca.k * cb.k"""
 
+_CELL = "CASE WHEN {k} > 0 THEN {k} * ln({k} * CAST(n.n AS DOUBLE) / ({r} * CAST({c} AS DOUBLE))) ELSE 0 END"
+_CELLS = " + ".join(_CELL.format(k=f"({k})", r=f"({r})", c=f"({c})") for k, r, c in (("p.k", "ca.k", "cb.k"), ("ca.k - p.k", "ca.k", "n.n - cb.k"), ("cb.k - p.k", "n.n - ca.k", "cb.k"), ("n.n - ca.k - cb.k + p.k", "n.n - ca.k", "n.n - cb.k")))
+_PAIR_COLUMNS = f"a AS item_a, b AS item_b, p.k AS n_both, ca.k AS n_a, cb.k AS n_b, n.n AS n_baskets, round(p.k * CAST(n.n AS DOUBLE) / (ca.k * cb.k), 3) AS lift, round(2 * ({_CELLS}), 3) AS llr"
+
 _RUN_SQL = f"""
 WITH {_CLEAN}, u AS (SELECT DISTINCT who, ms, event_id, shop, ev FROM e), g AS (
   SELECT *, CASE WHEN ms - lag(ms) OVER w <= 600000 AND shop = lag(shop) OVER w AND ev = lag(ev) OVER w THEN 0 ELSE 1 END AS fresh FROM u
@@ -125,6 +129,7 @@ SELECT {{}} FROM s GROUP BY who, k HAVING count(*) >= 2"""
 
 ORACLES = {
     "p2_found": _PAIR_SQL.replace("{}", "a AS shopid_a, b AS shopid_b"),
+    "p2_pairs": _PAIR_SQL.replace("{}", _PAIR_COLUMNS),
     "p7_found": _RUN_SQL.replace("{}", "who AS custref_no, min(shop) AS shopid, min(ms) AS start_ms, max(ms) AS end_ms"),
     "p7_runs": _RUN_SQL.replace("{}", "who AS custref_no, min(shop) AS shopid, min(ev) AS event, min(ms) AS start_ms, max(ms) AS end_ms, max(ms) - min(ms) AS duration_ms, count(*) AS n_events"),
 }
