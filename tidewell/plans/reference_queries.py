@@ -201,8 +201,8 @@ def text_regex_extract(spark, d):
 
 @query("SELECT review_id, regexp_replace(text, '<[^>]+>', '', 'g') AS text FROM amazon_new_review WHERE NOT contains(text, '&')")
 def text_html(spark, d):
-    rows = table(spark, d, "amazon_new_review").where(~F.col("text").contains("&"))
-    return text.normalize(rows, [{"normalizer": "html_normalizer", "columns": ["text"]}]).select("review_id", "text")
+    """All texts. The twin has no entities to decode, so it holds only for the texts without '&'."""
+    return text.normalize(table(spark, d, "amazon_new_review"), [{"normalizer": "html_normalizer", "columns": ["text"]}]).select("review_id", "text")
 
 
 @query("""SELECT review_id, list_filter(list_transform(string_split(text, '.'), lambda x: trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]+>', '', 'g'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '[\\s\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}\\x{0B}]+', ' ', 'g'), ' ')), lambda x: x <> '') AS parts FROM amazon_old_review_t""".replace("amazon_old_review_t", "(SELECT review_id, reviewText AS text FROM amazon_old_review)"))
