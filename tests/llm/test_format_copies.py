@@ -42,3 +42,20 @@ def test_collapse(spark, hot):
 def test_empty(spark):
     members, sets = collapse(frame(spark).limit(0), ["who"], "body", "review_id")
     assert members.count() == 0 and sets.count() == 0
+
+
+WRAPPED = [
+    ("Days used: 231 | Smell: none | Fit: boxy", "Days\nused: 231 | Smell: none | Fit: boxy", "Fit:\nboxy, Days used: 231, Smell: none", "Smell: none, Days\nused: 231, Fit: boxy", "Smell: none / Fit: boxy / Days\r\nused: 231", "Smell:\nnone;\nFit: boxy; Days used: 231", "Smell:\nnone\nDays\nused: 231\nFit: boxy", "<p>Fit:<br>boxy; Smell: none; Days\nused: 231</p>"),
+    ("Weight: 1 kg\nFit: snug", "Weight: 1\nkg\nFit: snug", "Fit: snug | Weight: 1\nkg", "Fit: snug\nWeight: 1\nkg"),
+    ("Fit: snug, soft\nTaste: sweet", "Taste: sweet; Fit: snug, soft"), ("Fit: snug / Noise: low\nTaste: sweet", "Taste: sweet\nFit: snug\nNoise: low"),
+]
+
+
+@pytest.mark.parametrize("texts", WRAPPED)
+def test_line_breaks_inside_parts(texts):
+    assert len({canonical_text(t) for t in texts}) == 1, [canonical_text(t) for t in texts]
+
+
+def test_line_breaks_part_values():
+    assert canonical_text("Fit:\nsnug | Taste: sweet") != canonical_text("Fit:\nsweet | Taste: snug")
+    assert canonical_text("I bought two.\nPros: light\nCons: none") == canonical_text("I bought two. Pros: light Cons: none")

@@ -17,19 +17,58 @@ _TAG = regex.compile(r"</?[A-Za-z][^<>]*>|<!--.*?-->", regex.S)
 _ENTITY = regex.compile(r"&(?:#\d+|#[xX][0-9a-fA-F]+|\w+);")
 _OTHER = regex.compile(r"[^\p{L}\p{N}\p{M}]+")
 _MARKS = regex.compile(r"^\p{M}+")
-_PART = regex.compile(r"[\n;|/]+|,(?=\s*[^\W\d_][^:,;|/\n]{0,40}:)")
+_HARD = regex.compile(r"[;|/]+|,(?=\s*[^\W\d_][^:,;|/\n]{0,40}:)")
+_HARD_WRAPPED = regex.compile(r"[;|/]+|,(?=\s*[^\W\d_][^:,;|/]{0,40}:)")
+_LABEL = regex.compile(r"[\W_]*[^\W\d_][^:\n]{0,40}:")
+_LABEL_WRAPPED = regex.compile(r"[\W_]*[^\W\d_][^:\n.!?。！？]{0,40}\n[^:\n]{0,40}:")
+_UNIT = regex.compile(r"\d\s*\n\s*\p{L}{1,3}\s*\n")
 _LABELLED = regex.compile(r"^[\W_]*([^\W\d_][^:\n]{0,40}?)\s*:\s*(\S.*?)\s*$", regex.S)
+_SENTENCE = regex.compile(r"[.!?。！？]\s*$")
+_ANOTHER = regex.compile(r"[^\W\d_][^:]{0,40}:")
 
 
 def _letters(text: str) -> str:
     return _OTHER.sub("", text)
 
 
+def _labelled(parts: list[str]) -> list[regex.Match] | None:
+    found = [_LABELLED.match(p) for p in parts if _letters(p)]
+    return found if len(found) > 1 and all(found) else None
+
+
+def _lines(piece: str) -> list[str]:
+    """Parts of a piece, parted at the line breaks that a label follows once the part before has label and value; other breaks are white space.
+
+    A line without a colon between two labelled ones could end the value before or begin the label after: it begins the label, unless it is a unit after a number.
+    """
+    lines = [x for x in piece.split("\n") if x.strip()]
+    parts, cur = [], ""
+    for k, line in enumerate(lines):
+        rest = "\n".join(lines[k : k + 2])
+        follows = _LABEL.match(line) or (_LABEL_WRAPPED.match(rest) and not _UNIT.search(f"{cur[-1:]}\n{line}\n"))
+        if (follows and _LABELLED.match(cur)) or (":" not in cur and _SENTENCE.search(cur)):
+            parts.append(cur)
+            cur = line
+        else:
+            cur = f"{cur} {line}" if cur else line
+    return [*parts, cur]
+
+
+def _labelled_parts(text: str) -> list[regex.Match] | None:
+    """Matches of _LABELLED, if the text consists of two or more labelled parts."""
+    hard = _HARD.search(text)
+    if hard and "\n" in text:  # all parts are parted by other marks, so line breaks are white space
+        found = _labelled([p.replace("\n", " ") for p in _HARD_WRAPPED.split(text)])
+        if found and not any(_ANOTHER.search(m[2]) for m in found):
+            return found
+    return _labelled([p for piece in _HARD.split(text) for p in _lines(piece)])
+
+
 def canonical_text(text: str | None) -> str | None:
     """Letters, marks and digits of a text after markup, entities, case, width and composition are levelled; null if there are no letters or digits.
 
     A text that consists of labelled parts only ("Name: value", two or more, parted by
-    line breaks, ; | / or commas) has its parts sorted.
+    line breaks, ; | / or commas) has its parts sorted. A line break within a label or value is white space.
     """
     if text is None:
         return None
@@ -43,9 +82,8 @@ def canonical_text(text: str | None) -> str | None:
         text = _TAG.sub("\n" if ":" in text else " ", text)
     text = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", text).casefold()) if not text.isascii() else text.lower()
     if ":" in text:
-        parts = [p for p in _PART.split(text.replace("\r", "\n")) if _letters(p)]
-        labelled = [_LABELLED.match(p) for p in parts]
-        if len(parts) > 1 and all(labelled):
+        labelled = _labelled_parts(text.replace("\r", "\n"))
+        if labelled:
             return "\x1f".join(sorted(f"{_letters(m[1])}\x1e{_letters(m[2])}" for m in labelled))
     return _letters(text) or None
 
