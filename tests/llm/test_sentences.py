@@ -79,3 +79,26 @@ def test_frame(spark):
     df = spark.createDataFrame([(1, "Ab cd. Ef gh."), (2, None), (3, ""), (4, " "), (5, "?!"), (None, "x")], "doc long, body string").withColumn("text", F.lit("clash"))
     got = sorted(map(tuple, sentences(df, "doc", "body").collect()), key=str)
     assert got == [(1, 0, 6), (1, 7, 13), (5, 0, 2), (None, 0, 1)] and sentences(df.limit(0), "doc", "body").count() == 0
+
+
+def test_many_marks_inside():
+    for n in (61, 200, 9_000):
+        line = "The readings were " + ", ".join(f"{k % 90}.{k % 7}" for k in range(n)) + " in all. The next one failed."
+        assert [line[a:b] for a, b in split_sentences(line)] == [line[:-21], line[-20:]]
+    line = "He noted " + "approx. five, " * 80 + "and left. She stayed."
+    assert [line[a:b] for a, b in split_sentences(line)] == [line[:-12], line[-11:]]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.sampled_from(list("aB1. !?。！？“”「」()（）\"👍…、,用'«»-")), max_size=120), st.integers(1, 4))
+def test_reach_changes_nothing(text, reach):
+    from tidewell.llm import sentences as sentence_module
+
+    usual = sentence_module.REACH
+    try:
+        sentence_module.REACH = 10_000
+        want = split_sentences(text)
+        sentence_module.REACH = reach
+        assert split_sentences(text) == want
+    finally:
+        sentence_module.REACH = usual

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import accumulate
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
+from itertools import accumulate, chain
 
 import pyarrow as pa
 import regex
@@ -12,8 +13,10 @@ from pyspark.sql import functions as F
 
 from tidewell.session import spread
 
-#: A span is compared with others over at most so many places where a sentence could end; longer ones are cut there only.
+#: Starts of a span over so many places back are compared one by one, those before them by range maxima; the result is the same.
 REACH = 60
+#: Where an end mark has this score, no sentence ends.
+IMPOSSIBLE = -9.0
 #: Quotations and brackets of more characters don't hold sentences together.
 LONG_PAIR = 400
 
@@ -246,6 +249,32 @@ def _emoji_ends(text: str, start: int, taken: set[int], cased: bool) -> list[tup
     return out
 
 
+class _Maxima:
+    """Values that are appended, and the last place of the largest one in a range (sparse table)."""
+
+    def __init__(self):
+        self.values, self.levels = [], [[]]
+
+    def append(self, value: float) -> None:
+        n = len(self.values)
+        self.values.append(value)
+        self.levels[0].append(n)
+        k = 1
+        while (1 << k) <= n + 1:
+            if k == len(self.levels):
+                self.levels.append([])
+            self.levels[k].append(self._better(self.levels[k - 1][n + 1 - (1 << k)], self.levels[k - 1][-1]))
+            k += 1
+
+    def _better(self, a: int, b: int) -> int:
+        return b if self.values[b] >= self.values[a] else a
+
+    def last_best(self, a: int, b: int) -> int:
+        """Of the places a to b - 1, a < b."""
+        k = (b - a).bit_length() - 1
+        return self._better(self.levels[k][a], self.levels[k][b - (1 << k)])
+
+
 def _pieces(text: str, a: int, b: int) -> list[tuple[int, int]]:
     """Sentences of one block, by dynamic programming over whole spans."""
     block = text[a:b]
@@ -271,9 +300,9 @@ def _pieces(text: str, a: int, b: int) -> list[tuple[int, int]]:
         for m in _WHITE.finditer(block, head):
             if m.end() not in known and m.end() < len(block) and block[m.start() - 1] not in ":：":
                 ends.append((m.start(), m.end(), 3.0, -1, ""))
+    ends = sorted(e for e in ends if e[2] > IMPOSSIBLE)
     if not ends:
         return [(a + lead, a + len(block))]
-    ends.sort()
     inside = [0] * (len(block) + 2)
     for close, open_ in opener.items():
         if close - open_ <= LONG_PAIR:
@@ -282,6 +311,9 @@ def _pieces(text: str, a: int, b: int) -> list[tuple[int, int]]:
     depth = list(accumulate(inside))
     stops = [(lead, lead, 0.0, -1, "")] + ends + [(len(block), len(block), 0.0, -1, "")]
     letters = [0, *accumulate(map(str.isalnum, block))]
+    begins = [x[1] for x in stops]
+    begun = [letters[x] for x in begins]
+    flat, sloped = _Maxima(), _Maxima()
     best, back = [0.0], [0]
     for j in range(1, len(stops)):
         end, after, closing, opened, closer = stops[j]
@@ -297,7 +329,19 @@ def _pieces(text: str, a: int, b: int) -> list[tuple[int, int]]:
             lead_in = block[:opened].rstrip()
             fresh = not lead_in or lead_in[-1] in _STRONG + "." or (opened == head and not SPEAKS.search(lead_in))
         top, arg = -1e18, j - 1
-        for i in range(j - 1, max(-1, j - 1 - REACH), -1):
+        far = max(0, j - REACH)
+        places: Iterable[int] = range(j - 1, far - 1, -1)
+        if far:
+            # the score of a start is its best, and terms that are the same, or in line with its letters, between these bounds
+            flat.append(best[far - 1])
+            sloped.append(best[far - 1] + 0.0005 * begun[far - 1])
+            long_to = bisect_left(begun, letters[end] - 300, 0, far)
+            bounds = {0, far, long_to, bisect_left(begun, letters[end] - 1, 0, far), bisect_left(begun, letters[end], 0, far)}
+            if closer and not last:
+                bounds.add(bisect_left(begins, opened, 0, far))
+            cuts = sorted(bounds, reverse=True)
+            places = chain(places, ((sloped if y <= long_to else flat).last_best(x, y) for y, x in zip(cuts, cuts[1:])))
+        for i in places:
             begin = stops[i][1]
             score = best[i] + fixed
             n = letters[end] - letters[begin]
