@@ -102,3 +102,16 @@ def test_reach_changes_nothing(text, reach):
         assert split_sentences(text) == want
     finally:
         sentence_module.REACH = usual
+
+
+@pytest.mark.parametrize("o,c", ["“”", "「」", "()", "（）", "«»", '""'])
+@pytest.mark.parametrize("n", [10, 30, 800])
+def test_long_pairs_hold(o, c, n):
+    line = f"Before it. He noted {o}" + "The tea was cold. " * n + f"We left{c} and sat down. After it."
+    assert [line[a:b] for a, b in split_sentences(line)] == ["Before it.", line[11:-10], "After it."]
+
+
+def test_long_unbalanced_pairs_do_not_hold():
+    filler = "The tea was cold. " * 40
+    for line in ("He noted “one thing. " + filler + "Done.", 'A 5"x7 print. ' + filler + 'He said "no" to it.', "It (was. " + filler + "\n\nSo it) was. Done."):
+        assert len(split_sentences(line)) > 40

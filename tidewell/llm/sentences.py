@@ -17,7 +17,8 @@ from tidewell.session import spread
 REACH = 60
 #: Where an end mark has this score, no sentence ends.
 IMPOSSIBLE = -9.0
-#: Quotations and brackets of more characters don't hold sentences together.
+#: Inside quotations and brackets of more characters no sentence ends at all; in shorter ones an end mark only scores less. Straight quotes of that length count
+#: where all of the block's are paired, as a stray one (an inch mark) would pair with the next quotation's.
 LONG_PAIR = 400
 
 # Abbreviations after which a sentence goes on, by language.
@@ -301,13 +302,20 @@ def _pieces(text: str, a: int, b: int) -> list[tuple[int, int]]:
             if m.end() not in known and m.end() < len(block) and block[m.start() - 1] not in ":：":
                 ends.append((m.start(), m.end(), 3.0, -1, ""))
     ends = sorted(e for e in ends if e[2] > IMPOSSIBLE)
-    if not ends:
-        return [(a + lead, a + len(block))]
-    inside = [0] * (len(block) + 2)
+    inside, held = [0] * (len(block) + 2), [0] * (len(block) + 2)
+    straight = sum(block[k] == '"' for k in opener)
     for close, open_ in opener.items():
         if close - open_ <= LONG_PAIR:
             inside[open_ + 1] += 1
             inside[close + 1] -= 1
+        elif block[close] != '"' or block.count('"') == 2 * straight:
+            held[open_ + 1] += 1
+            held[close + 1] -= 1
+    if any(held):
+        hold = list(accumulate(held))
+        ends = [e for e in ends if not hold[e[0]]]
+    if not ends:
+        return [(a + lead, a + len(block))]
     depth = list(accumulate(inside))
     stops = [(lead, lead, 0.0, -1, "")] + ends + [(len(block), len(block), 0.0, -1, "")]
     letters = [0, *accumulate(map(str.isalnum, block))]
