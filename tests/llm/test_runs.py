@@ -69,3 +69,33 @@ def test_symbol_strings(pairs):
         want.append((k, j))
         k = j + 1
     assert spans == want
+
+
+def with_breaks(spark, events, gap=100):
+    df = spark.createDataFrame(events, "who string, ms long, eid string, shop string, ev string")
+    return sorted((r.who, r.shop, r.ev, r.start_ms, r.end_ms, r.n_events) for r in runs.collapse_runs(df, "who", "ms", "eid", ["shop", "ev"], gap, breaks=["ev"]).collect())
+
+
+def brute_with_breaks(events):
+    marked = [(u, t, i, s, e if e is not None else f"unknown {i}") for u, t, i, s, e in events]
+    return [r for r in brute(marked) if not r[2].startswith("unknown")]
+
+
+def test_unknown_event_ends_a_run(spark):
+    a, b, c = (("u", k, str(k), "1", "x") for k in range(3))
+    assert with_breaks(spark, [a, b, ("u", 2, "2", "1", None), ("u", 3, "3", "1", "x")]) == [("u", "1", "x", 0, 1, 2)]
+    assert with_breaks(spark, [a, ("u", 1, "1", "1", None), c]) == [] and with_breaks(spark, [("u", k, str(k), "1", None) for k in range(4)]) == []
+    random.seed(8)
+    events = [(u, t, i, s, None if random.random() < 0.2 else e) for u, t, i, s, e in made(600)[:600]]
+    few = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for size in ("3", few):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        assert with_breaks(spark, events) == brute_with_breaks(events)
+
+
+def test_query_takes_blank_events_as_unknown(spark, tmp_path):
+    rows = [("a", 10**12, "C", "7", "view"), ("b", 10**12 + 1, "C", "7", "  "), ("c", 10**12 + 2, "C", "7", "view"), ("d", 10**12 + 3, "C", "7", "View!"), ("e", 10**12 + 4, "D", "7", ""), ("f", 10**12 + 5, "D", "7", "")]
+    spark.createDataFrame(rows, "event_id string, event_time long, custref_no string, shopid string, event string").write.parquet(str(tmp_path / "user_seq.parquet"))
+    from tidewell.llm import queries
+
+    assert [tuple(r) for r in queries.p7_found(spark, str(tmp_path)).collect()] == [("C", "7", 10**12 + 2, 10**12 + 3)]

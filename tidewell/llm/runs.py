@@ -36,7 +36,8 @@ class _Runs:
     def push(self, batch: pa.RecordBatch) -> pa.Table | None:
         user, key = batch.column(0).dictionary_encode(), batch.column(3).dictionary_encode()
         t = batch.column(1).to_numpy(zero_copy_only=False)
-        u, k = (c.indices.to_numpy(zero_copy_only=False).astype(np.int64) for c in (user, key))
+        known = key.indices.is_valid().to_numpy(zero_copy_only=False)
+        u, k = (c.indices.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for c in (user, key))
         e = batch.column(2).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
         again = np.zeros(len(t), bool)
         again[1:] = (u[1:] == u[:-1]) & (t[1:] == t[:-1]) & (e[1:] == e[:-1]) & (e[1:] >= 0)
@@ -45,17 +46,18 @@ class _Runs:
         fresh = np.flatnonzero(~again)
         if len(fresh) == 0:
             return None
-        u, t, k = u[fresh], t[fresh], k[fresh]
-        _, codes = np.unique(u * len(key.dictionary) + k, return_inverse=True)
+        u, t, k, known = u[fresh], t[fresh], k[fresh], known[fresh]
+        _, codes = np.unique(u * max(1, len(key.dictionary)) + k, return_inverse=True)
         stop = np.zeros(len(t), bool)
-        stop[1:] = t[1:] - t[:-1] > self.gap
+        stop[1:] = (t[1:] - t[:-1] > self.gap) | ~known[:-1]
+        stop |= ~known
         text, rows = symbol_string(codes, stop)
         spans = np.array([m.span() for m in REPEATED.finditer(text)], np.int64)
         first, last = rows[spans[:, 0]], rows[spans[:, 1] - 1]
-        table = self._table(user.dictionary.take(pa.array(u[first])), key.dictionary.take(pa.array(k[first])), t[first], t[last], last - first + 1)
+        table = self._table(user.dictionary.take(pa.array(u[first])), key.dictionary.take(pa.array(k[first], mask=~known[first])), t[first], t[last], last - first + 1)
         if self.open is not None:
             o = self.open
-            if (o[0], o[1]) == (table["user"][0].as_py(), table["key"][0].as_py()) and int(t[first[0]]) - o[3] <= self.gap:
+            if o[1] is not None and (o[0], o[1]) == (table["user"][0].as_py(), table["key"][0].as_py()) and int(t[first[0]]) - o[3] <= self.gap:
                 head = self._table([o[0]], [o[1]], [o[2]], [int(t[last[0]])], [o[4] + int(last[0] - first[0]) + 1])
                 table = pa.concat_tables([head, table.slice(1)])
             else:
@@ -74,11 +76,12 @@ class _Runs:
         return pa.table({"user": text(user), "key": text(key), "start_ms": pa.array(start, pa.int64()), "end_ms": pa.array(end, pa.int64()), "n_events": pa.array(n, pa.int64())})
 
 
-def collapse_runs(events: DataFrame, user: str, time_ms: str, event_id: str, same: list[str], gap_ms: int = 600_000, least: int = 2) -> DataFrame:
+def collapse_runs(events: DataFrame, user: str, time_ms: str, event_id: str, same: list[str], gap_ms: int = 600_000, least: int = 2, breaks: list[str] | None = None) -> DataFrame:
     """(user, *same, start_ms, end_ms, duration_ms, n_events): every longest run of `least` or more events of a user, one after
     another in time, that agree in `same`, each at most gap_ms after the one before.
 
-    Rows with a null in user, time or any column of `same` are left out before.
+    Rows with a null in user, time or any column of `same` are left out before; but where a column of `same` that is among
+    `breaks` is null, the row stays in the order as an event that is like no other, so it ends a run.
     An event stored again (same user, time and id) counts once; rows with null id each count. Ties in time are taken by length and
     text of the id, so the result is determined. An empty table gives none.
 
@@ -88,12 +91,16 @@ def collapse_runs(events: DataFrame, user: str, time_ms: str, event_id: str, sam
     ends, so a user with a third of all events is spread over many tasks.
     """
     ok = F.lit(True)
+    known = F.lit(True)
     for c in [user, time_ms, *same]:
-        ok = ok & F.col(c).isNotNull()
+        if c in (breaks or []):
+            known = known & F.col(c).isNotNull()
+        else:
+            ok = ok & F.col(c).isNotNull()
     ident = F.col(event_id).cast("string")
-    rows = events.where(ok).select(F.col(user).cast("string").alias("user"), F.col(time_ms).cast("long").alias("t"), F.concat(F.lpad(F.length(ident).cast("string"), 9, "0"), ident).alias("id"), F.to_json(F.array(*(F.col(c).cast("string") for c in same))).alias("key"))
+    rows = events.where(ok).select(F.col(user).cast("string").alias("user"), F.col(time_ms).cast("long").alias("t"), F.concat(F.lpad(F.length(ident).cast("string"), 9, "0"), ident).alias("id"), F.when(known, F.to_json(F.array(*(F.col(c).cast("string") for c in same)))).alias("key"))
     scanned = ordered_scan(rows, ["user", "t", "id"], lambda: _Runs(gap_ms), "user string, key string, start_ms long, end_ms long, n_events long", "runs")
     worth = scanned.where(F.col("edge") | (F.col("n_events") >= least))
-    whole = join_ends(worth, ["user"], ["key"], gap_ms, ["n_events"]).where(F.col("n_events") >= least)
+    whole = join_ends(worth, ["user"], ["key"], gap_ms, ["n_events"]).where(F.col("key").isNotNull() & (F.col("n_events") >= least))
     parts = F.from_json("key", "array<string>")
     return whole.select(F.col("user").alias(user), *(parts[i].alias(c) for i, c in enumerate(same)), "start_ms", "end_ms", (F.col("end_ms") - F.col("start_ms")).alias("duration_ms"), "n_events")
