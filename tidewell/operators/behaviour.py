@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.contracts import has
-from tidewell.session import cut
+from tidewell.session import cut, rounds_of
 
 
-def k_core(df: DataFrame, k: int = 5, user: str = "user_id", item: str = "item_id", rounds: int = 100) -> DataFrame:
-    """Rows left when users and items of fewer than k rows are dropped again and again. Rows are counted, not pairs. Null keys go.
+def k_core(df: DataFrame, k: int = 5, user: str = "user_id", item: str = "item_id", rounds: int | None = None) -> DataFrame:
+    """Rows left when users and items of fewer than k rows are dropped again and again, until none is. Rows are counted, not pairs. Null keys go.
+    With `rounds`, an error if it takes more.
 
     The rounds work on pair counts, not on rows: the pairs are far fewer than the
     rows of repeated interactions, and the input is read again only by the last semi join. Each round's pairs are cut into the shared folder, so lost executors don't replay the rounds.
@@ -20,7 +21,7 @@ def k_core(df: DataFrame, k: int = 5, user: str = "user_id", item: str = "item_i
     pairs = df.where(F.col(user).isNotNull() & F.col(item).isNotNull()).groupBy(F.col(user).alias("u"), F.col(item).alias("i")).agg(F.count(F.lit(1)).alias("n"))
     pairs = cut(pairs, "kcore")
     size = pairs.count()
-    for _ in range(rounds):
+    for _ in rounds_of(rounds, "k_core"):
         # items are counted after the users of the round are gone: the fixpoint is the same, the rounds are fewer
         users = pairs.groupBy("u").agg(F.sum("n").alias("c")).where(F.col("c") >= k).select("u")
         kept = pairs.join(users, "u", "left_semi")

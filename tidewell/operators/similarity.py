@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.session import cut
+from tidewell.session import cut, rounds_of
 
 #: Bounds are compared with this much room for rounding.
 EPS = 1e-9
@@ -40,17 +40,18 @@ def similar_pairs(df: DataFrame, key: str, tokens: str, least: float) -> DataFra
     return pairs.join(side("a"), "a").join(side("b"), "b").withColumn("jaccard", jaccard(F.col("ta"), F.col("tb"))).where(F.col("jaccard") >= least - EPS).select("a", "b", "jaccard")
 
 
-def connected_components(edges: DataFrame, rounds: int = 100) -> DataFrame:
+def connected_components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, component) of the nodes of edges (a, b); the component is its smallest node. Edges with a null end are left out.
 
     Each round every node takes the smallest label among its neighbours' and its
     label's own (pointer jumping), so long chains shorten quickly. State stays in the cluster and is cut into the shared folder each round.
+    It goes on until no label changes; with `rounds`, an error if it takes more.
     """
     e = edges.select("a", "b").where("a is not null and b is not null and a <> b").distinct()
     both = cut(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     loops = edges.where("a is not null and b is not null").select(F.explode(F.array("a", "b")).alias("node")).distinct()
     labels = cut(loops.select("node", F.col("node").alias("label")), "labels")
-    for _ in range(rounds):
+    for _ in rounds_of(rounds, "connected_components"):
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         stepped = labels.join(near, "node", "left").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
@@ -61,19 +62,21 @@ def connected_components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     return labels.select("node", F.col("label").alias("component"))
 
 
-def greedy_groups(ranked: DataFrame, pairs: DataFrame, rounds: int = 1000) -> DataFrame:
+def greedy_groups(ranked: DataFrame, pairs: DataFrame, rounds: int | None = None) -> DataFrame:
     """(name, canonical): taken in order of rank, each name joins the first canonical it is paired with, else becomes one.
 
     ranked: (name, rank) with unique ranks; pairs: (a, b). The sequential rule is
     resolved in rounds: a name is settled once all better names it is paired with,
     up to its first canonical, are settled. So no group meets in one task.
+    It goes on until all are settled; with `rounds`, an error if it takes more.
     """
     r = ranked.select("name", "rank")
     both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     up = both.join(r.select(F.col("name").alias("a"), F.col("rank").alias("ra")), "a").join(r.select(F.col("name").alias("b"), F.col("rank").alias("rb")), "b").where("rb < ra").select("a", "b", "rb").distinct()
     up = cut(up, "better")
     state = cut(r.select("name", F.lit(None).cast("string").alias("canonical")), "groups")
-    for _ in range(rounds):
+    unsettled = None
+    for _ in rounds_of(rounds, "greedy_groups"):
         s = state.select(F.col("name").alias("b"), F.col("canonical").alias("cb"))
         own = F.col("cb") == F.col("b")
         seen = up.join(s, "b").groupBy(F.col("a").alias("name")).agg(
@@ -82,8 +85,12 @@ def greedy_groups(ranked: DataFrame, pairs: DataFrame, rounds: int = 1000) -> Da
         joined = state.join(seen, "name", "left")
         settled = F.when(F.col("best").isNotNull() & (F.col("open_rank").isNull() | (F.col("best_rank") < F.col("open_rank"))), F.col("best")).when(F.col("best").isNull() & F.col("open_rank").isNull(), F.col("name"))
         state = cut(joined.select("name", F.coalesce("canonical", settled).alias("canonical")), "groups")
-        if not state.where("canonical is null").take(1):
+        left = state.where("canonical is null").count()
+        if not left:
             break
+        if left == unsettled:
+            raise ValueError("greedy_groups can't settle names that are null or have no unique rank")
+        unsettled = left
     return state
 
 

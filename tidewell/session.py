@@ -8,6 +8,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,6 +80,14 @@ def drop_cuts() -> None:
 atexit.register(drop_cuts)
 
 
+def rounds_of(most: int | None, what: str) -> Iterator[int]:
+    """Rounds for a loop that breaks off when its state is final; past `most` of them an error, never an unfinished state."""
+    for k in count():
+        if most is not None and k >= most:
+            raise RuntimeError(f"{what} isn't final after {most} rounds")
+        yield k
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
