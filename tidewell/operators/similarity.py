@@ -10,6 +10,7 @@ from tidewell.session import cut, rounds_of
 #: Bounds are compared with this much room for rounding.
 EPS = 1e-9
 
+
 def ngrams(c: Column, n: int = 2) -> Column:
     """The set of a text's character n-grams; empty for shorter texts, null for null."""
     return F.when(F.length(c) < n, F.array().cast("array<string>")).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - (n - 1)), lambda i: F.substring(c, i, n))))
@@ -52,11 +53,12 @@ def connected_components(edges: DataFrame, rounds: int | None = None) -> DataFra
     loops = edges.where("a is not null and b is not null").select(F.explode(F.array("a", "b")).alias("node")).distinct()
     labels = cut(loops.select("node", F.col("node").alias("label")), "labels")
     for _ in rounds_of(rounds, "connected_components"):
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        stepped = labels.join(near, "node", "left").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        moved = cut(stepped.join(jump, "label", "left").select("node", "old", F.least("label", "far").alias("label")), "labels")
-        labels = moved.select("node", "label")
+        labels_now = labels.select("node", "label")
+        near = both.join(labels_now.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        stepped = labels_now.join(near, "node", "left").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        jump = labels_now.select(F.col("node").alias("label"), F.col("label").alias("far"))
+        moved = cut(stepped.join(jump, "label", "left").select("node", "old", F.least("label", "far").alias("label")), "labels", instead_of=labels)
+        labels = moved
         if not moved.where("old <> label").take(1):
             break
     return labels.select("node", F.col("label").alias("component"))
@@ -84,7 +86,7 @@ def greedy_groups(ranked: DataFrame, pairs: DataFrame, rounds: int | None = None
         )
         joined = state.join(seen, "name", "left")
         settled = F.when(F.col("best").isNotNull() & (F.col("open_rank").isNull() | (F.col("best_rank") < F.col("open_rank"))), F.col("best")).when(F.col("best").isNull() & F.col("open_rank").isNull(), F.col("name"))
-        state = cut(joined.select("name", F.coalesce("canonical", settled).alias("canonical")), "groups")
+        state = cut(joined.select("name", F.coalesce("canonical", settled).alias("canonical")), "groups", instead_of=state)
         left = state.where("canonical is null").count()
         if not left:
             break
