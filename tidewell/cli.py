@@ -61,9 +61,14 @@ def analyze(spark, config: dict) -> dict:
     """Run the review analyzers and write each result; failures are told, not raised."""
     rows = spark.read.format(config.get("input_format", "json")).load(config["input"])
     plans, errors = reviews.run_all(reviews.derive(rows), config.get("analyzers"))
+    written = []
     for name, df in plans.items():
-        sinks.write(reviews.shown(name, df), config["output"], name, "csv", single=True)
-    return {"written": sorted(plans), "errors": errors}
+        try:
+            sinks.write(reviews.shown(name, df), config["output"], name, "csv", single=True)
+            written.append(name)
+        except Exception as e:  # noqa: BLE001  one analyzer's failure while it runs doesn't end the others
+            errors[name] = str(e)
+    return {"written": sorted(written), "errors": errors}
 
 
 def campaign(spark, config: dict) -> dict:

@@ -128,8 +128,7 @@ def real_first(df: DataFrame, share: float = 0.5, order: str = "seq") -> DataFra
     held = df.where("split <> 'train'")
     counts = held.groupBy("split").agg(F.count_if("is_real").alias("_real"))
     gen = held.where(~F.col("is_real")).join(F.broadcast(counts), "split")
-    w = Window.partitionBy("split").orderBy(order)
-    kept = gen.withColumn("_n", F.row_number().over(w)).withColumn("split", F.when((F.col("_real") > 0) & (F.col("_n") > F.col("_real") * ((1 - share) / share)), "train").otherwise(F.col("split"))).select(df.columns)
+    kept = numbered(gen, ["split"], [order], "_n").withColumn("split", F.when((F.col("_real") > 0) & (F.col("_n") > F.col("_real") * ((1 - share) / share)), "train").otherwise(F.col("split"))).select(df.columns)
     return df.where("split = 'train' or is_real").select(df.columns).unionByName(kept)
 
 

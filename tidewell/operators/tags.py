@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.operators import similarity
+from tidewell.operators.ranking import numbered
 
 # Legal endings of a brand.
 LEGAL = "(有限公司|集团|股份|Co\\.?|Ltd\\.?|Inc\\.?|LLC|GmbH)$"
@@ -77,8 +78,8 @@ def vocabulary_diff(observed: DataFrame, dictionary: DataFrame, least: int = 10)
 def snapshot(observed: DataFrame, dictionary: DataFrame, dim: str, most: int | None = None) -> DataFrame:
     """(dim, value, place): the dictionary's values, observed ones by falling frequency first, then the rest by value."""
     both = dictionary.select("dim", "value").distinct().join(observed.select("dim", "value", "frequency"), ["dim", "value"], "left").where(F.col("dim") == dim)
-    w = Window.partitionBy("dim").orderBy(F.coalesce(F.col("frequency"), F.lit(0)).desc(), "value")
-    out = both.withColumn("place", F.row_number().over(w))
+    ranked = both.withColumn("_f", -F.coalesce(F.col("frequency"), F.lit(0)))
+    out = numbered(ranked, ["dim"], ["_f", "value"], "place").withColumn("place", F.col("place").cast("int"))  # a dimension may hold any number of values
     return (out.where(F.col("place") <= most) if most else out).select("dim", "value", "place")
 
 

@@ -1,7 +1,8 @@
 """The pipeline: configured filters, cascade, normalizers, sequences, related items.
 
-The plan is built step by step and run once, at the sink. Row counts of the steps
-come from observations of that one run, not from a job a step.
+The plan is built step by step. Steps that run jobs while the plan is built (run-length
+deduplication, k-core) get a table in the shared folder, written once before the first of them, so that the steps before
+run once; the rest runs at the sink. Row counts of the steps come from observations of those runs, not from a job a step.
 """
 
 from __future__ import annotations
@@ -14,6 +15,10 @@ from pyspark.sql import functions as F
 from tidewell.contracts import check_contract
 from tidewell.functions import predicates, text
 from tidewell.operators import behaviour, dedup, filters, sequences
+from tidewell.session import cut
+
+#: Steps that run jobs over what is before them.
+EAGER = ("user_item", "kcore")
 
 #: Order of the interaction filters by preset; k-core is last of those that count rows, as no other step may follow it without changing its result.
 ORDERS = {
@@ -52,6 +57,8 @@ class Pipeline:
         legacy, as_of = self.config.get("preset") == "legacy_review", self.config.get("as_of")
         for step in self.steps():
             c = {k: v for k, v in self.config["filters"][step].items() if k != "enabled"}
+            if step in EAGER:
+                df = cut(df, "steps")
             if step == "completeness":
                 df = filters.field_completeness(df, tuple(c.get("required_fields", ("user_id", "item_id", "timestamp"))))
             elif step == "product_exists" and items is not None:
@@ -75,7 +82,7 @@ class Pipeline:
             elif step == "length":
                 df = filters.max_length(df, c.get("text_column", "review_text"), c.get("max_length", 700))
             elif step == "spam":
-                df = filters.spam(df, patterns=c.get("patterns"), fold_case=legacy)
+                df = filters.spam(df, tuple(c["text_columns"]) if "text_columns" in c else (c["text_column"],) if "text_column" in c else ("review_text", "review_title"), patterns=c.get("patterns"), fold_case=legacy)
             elif step == "campaign":
                 df = behaviour.campaign_filter(df, item_flags, user_flags, **c)
             elif step == "kcore":
