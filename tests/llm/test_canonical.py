@@ -27,6 +27,61 @@ def test_values(spark):
     assert {v: got[v] for v in VALUES} == VALUES and None not in got and "" not in got and " \t" not in got
 
 
+@pytest.mark.parametrize("names, words", [(0, 200_000), (20_000, 0), (0, 0)])
+def test_longer_lists_and_more_words_give_the_same(spark, monkeypatch, names, words):
+    monkeypatch.setattr(canonical, "SMALL_LIST", names)
+    monkeypatch.setattr(canonical, "WORDS", words)
+    got = mapped(spark, VALUES)
+    assert {v: got[v] for v in VALUES} == VALUES
+
+
+def test_best_jaccard_without_refinement(spark):
+    listed = spark.createDataFrame([(1, "north harbour tea"), (2, "north harbour tea house"), (3, "south gate books")], "i int, n string")
+    values = spark.createDataFrame([("North Harbour Teas",), ("harbour tea house",), ("south gate book shop",), ("nothing like it",)], "v string")
+    for small in (20_000, 0):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(canonical, "SMALL_LIST", small)
+            got = {r.v: r.i for r in canonical.map_values(values, "v", listed, "i", ["n"], refine=False).collect()}
+        assert got == {"North Harbour Teas": 1, "harbour tea house": 2, "south gate book shop": 3, "nothing like it": None}
+
+
+def test_another_list(spark):
+    """Recall and precision on a list in other words and characters than the project's."""
+    rng = random.Random(4)
+    syllables, signs = "ba ko ri mun tel sha vo pir gan lue dor fi".split(), "春江花月夜流水亭台楼阁松柏竹梅清风明玉石泉溪谷雪霜秋冬晨暮"
+    names = sorted({"".join(rng.sample(syllables, 3)).capitalize() for _ in range(60)} | {"".join(rng.sample(signs, rng.choice((4, 5)))) for _ in range(60)})
+    listed, outside = names[::2], names[1::2]
+    sound = canonical.script(spark).sound
+    alike = {}
+    for c, stands in sound.items():
+        if 0x4E00 <= c < 0x9FA6:
+            alike.setdefault(stands, []).append(chr(c))
+
+    def typed(name):
+        kind = rng.randrange(6)
+        k = rng.randrange(1, len(name) - 1)
+        if kind == 0:
+            return f"【{name.upper()}】 "
+        if kind == 1:
+            return f"临安市{name}有限公司"
+        if kind == 2:
+            return name[:k] + name[k] + name[k:]  # a key hit twice
+        if kind == 3 and not name.isascii():
+            return name[:k] + rng.choice(alike[sound.get(ord(name[k]), name[k])]) + name[k + 1 :]
+        if kind == 4 and name.isascii():
+            return name[:k] + name[k + 1] + name[k] + name[k + 2 :]
+        return f"品牌：{name}（官方）"
+
+    truth = {typed(n): n for n in listed for _ in range(4)} | {typed(n): None for n in outside for _ in range(2)}
+    values = spark.createDataFrame([(v,) for v in truth], "v string")
+    cities = spark.createDataFrame([("临安",)], "c string")
+    got = {r.v: r.n for r in canonical.map_values(values, "v", spark.createDataFrame([(n,) for n in listed], "n string"), "n", ["n"], cities).select("v", "n").collect()}
+    right = sum(1 for v, n in truth.items() if n and got[v] == n)
+    recall, precision = right / sum(1 for n in truth.values() if n), right / sum(1 for n in got.values() if n)
+    print("recall", recall, "precision", precision)
+    assert recall >= 0.9 and precision >= 0.95
+
+
 def test_empty_list(spark):
     assert set(mapped(spark, ["a", "b"], [(9, None, None, None)]).values()) == {None}
 

@@ -2,34 +2,35 @@
 
 from __future__ import annotations
 
+import math
 import unicodedata
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.operators import skew
 from tidewell.session import cut, spread
 
 #: Least Jaccard similarity of the token sets (characters and neighbouring pairs).
 SIMILAR = 0.5
 #: Bounds are compared with this much room, as 0.4 / 1.4 * 7 is a little over 2.
 EPS = 1e-9
-#: The list and its tokens are broadcast up to so many entries; a longer one is joined by shuffle.
-SMALL_LIST = 100_000
-#: Cities and kinds of shops, at most.
-MOST_WORDS = 50_000
-#: A word that follows so large a share of all different values, at least, names a branch's place.
-PLACE_SHARE = 0.002
-
-# Traditional characters and their simplified forms, as far as names here use them.
-TRADITIONAL = dict(zip("漁鳶嵐嶼鯉裡裏舖鋪記梔籬館優選飲東莊園藝號樓門雲灣橋閣韻潤麗華蘭蓮鳳龍馬鳥魚鮮麵飯鍋燒貓豐興順義寶齋麥", "渔鸢岚屿鲤里里铺铺记栀篱馆优选饮东庄园艺号楼门云湾桥阁韵润丽华兰莲凤龙马鸟鱼鲜面饭锅烧猫丰兴顺义宝斋麦"))
-# Characters of one sound, the first standing for all.
-SAME_SOUND = "檀谈弹坛谭 茉莫墨默沫 梧吾无吴 渔鱼余于榆 禾河何合荷和 曦西溪希熙夕 枳知之芝支栀织 糯诺懦 澄成程城诚 柚釉又右佑诱 橘桔菊局 屿雨宇羽 鹿麓路陆禄 砚燕雁晏 蔓慢曼漫 桐同童铜 塘唐糖堂棠 沐木牧 葵奎魁 苔台抬 笙生声升 炊吹 酥苏 岚蓝兰 椿春 粟素速 汀听厅 鸢渊冤 斛胡湖壶 穗岁遂 珞洛落络 桉安鞍 泊伯博 芋玉遇 鲤理李里礼 篱离梨 集吉 坊方芳 屋乌 社射设 铺扑 记计"
+#: A list of up to so many names is sent to the tasks as an index; a longer one is joined by shuffle, with the same result.
+SMALL_LIST = 20_000
+#: Words to strip (cities, places, kinds) are sent to the tasks up to so many; more of them are joined to the values' parts, with the same result.
+WORDS = 200_000
+#: A word names a branch's place if it stands behind at least so many different names, in a bracket or behind a separator.
+PLACE_HEADS = 20
+#: Cores whose hits a worker keeps.
+CACHE = 200_000
+
 # Words around a name that say nothing about it.
 NOISE = "商贸有限公司 餐饮管理有限公司 管理有限公司 食品有限公司 有限责任公司 有限公司 餐饮管理 旗舰店 品牌 官方 自营 直营 直营店 加盟 加盟店 连锁 连锁店 集团 实业 商贸 新开 外卖 牌 official coltd co ltd llc inc corp store".split()
-_NOISE = sorted(NOISE, key=len, reverse=True)
+_NOISE = frozenset(NOISE)
 _PREFIX = regex.compile(r"^\s*(?:(?:brnd|brand|品牌|店名|名称)\s*[=:]\s*|[0-9]{1,2}[.、]\s*(?=\D))+")
 _LABEL = regex.compile(r"(?:brnd|brand|品牌)\s*[=:]\s*")
 _SEPARATOR = regex.compile(r"[\s()\[\]【】《》〈〉「」『』“”\"'’‘·・•/\\|、,，;；:：_.。…~!！?？*★☆#&+\-–—®™©]+")
@@ -38,25 +39,48 @@ _SYMBOL = regex.compile(r"[^\p{L}\p{N}]+")
 _BRANCH = regex.compile(r"^(.*?)(?:\d+号?)?(?:分店|总店|店)?$")
 _NUMBERED = regex.compile(r"^(.*?)(\d*号?(?:分店|总店|店)?)$")
 _LISTED = regex.compile(r"^\d{1,2}(?=\D{3})")
+_HAN = regex.compile(r"\p{Han}")
 _CJK = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 _SCRIPTS = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]+|[^\p{Han}\p{Hiragana}\p{Katakana}]+")
+_DROPPED = {"Cf", "So", "Sk", "Mn", "Co"}
 
 
-_TRADITIONAL = {ord(a): b for a, b in TRADITIONAL.items()}
-_SOUND = {ord(c): group[0] for group in SAME_SOUND.split() for c in group}
-_DROPPED = {"Cf", "So", "Sk", "Mn", "Co"}
+@dataclass
+class Script:
+    """Tables from code points: the simplified form of a Han character, and the character that stands for its sound."""
 
+    simple: dict[int, str]
+    sound: dict[int, str]
 
-def fold(text: str) -> str:
-    """Level form of a text: width, case, composition, traditional characters; without signs and invisible characters."""
-    text = "".join(c for c in text if unicodedata.category(c) not in _DROPPED)  # before ™ becomes letters
-    text = unicodedata.normalize("NFKC", text).casefold()
-    return "".join(c for c in text if unicodedata.category(c) not in _DROPPED).translate(_TRADITIONAL)
+    def fold(self, text: str) -> str:
+        """Level form of a text: width, case, composition, traditional characters; without signs and invisible characters."""
+        text = "".join(c for c in text if unicodedata.category(c) not in _DROPPED)  # before ™ becomes letters
+        text = unicodedata.normalize("NFKC", text).casefold()
+        return "".join(c for c in text if unicodedata.category(c) not in _DROPPED).translate(self.simple)
 
+    def sounds(self, core: str) -> str:
+        """The core with characters of one sound written alike."""
+        return core if core.isascii() else core.translate(self.sound)
 
-def sound(core: str) -> str:
-    """The core with characters of one sound written alike."""
-    return core.translate(_SOUND)
+
+_SCRIPT: list[Script] = []
+
+
+def script(spark: SparkSession) -> Script:
+    """The Unicode data on variants and readings that come with Spark's ICU library, for all Han characters of the basic plane; bounded by the script.
+
+    Characters of one Mandarin reading sound alike, whatever the tone, as input methods ask for none. Made once a driver.
+    """
+    if not _SCRIPT:
+        han = "".join(chr(c) for a, b in ((0x3400, 0x4DC0), (0x4E00, 0xA000), (0xF900, 0xFB00)) for c in range(a, b) if unicodedata.category(chr(c)) == "Lo")
+        of = spark.sparkContext._jvm.com.ibm.icu.text.Transliterator.getInstance
+        simple, read = ("".join(of(name).transliterate("\n".join(han))).split("\n") for name in ("Hant-Hans", "Han-Latin; Latin-ASCII"))
+        stands: dict[str, str] = {}
+        for c, r in zip(han, read):
+            if r != c:
+                stands.setdefault(r, c)
+        _SCRIPT.append(Script({ord(c): s for c, s in zip(han, simple) if s != c and len(s) == 1}, {ord(c): stands[r] for c, r in zip(han, read) if r != c}))
+    return _SCRIPT[0]
 
 
 def tokens(core: str) -> list[str]:
@@ -70,13 +94,30 @@ def tokens(core: str) -> list[str]:
     return out
 
 
-def places_of(words: Iterable[str]) -> set[str]:
-    return {w for w in words if len(w) >= 2}
+class Words:
+    """A set of words that a text may begin or end with, found by look-ups of its parts, the longest first."""
+
+    def __init__(self, words: Iterable[str] = ()):
+        self.words = frozenset(w for w in words if w)
+        self.lengths = sorted({len(w) for w in self.words}, reverse=True)
+
+    def __contains__(self, word: str) -> bool:
+        return word in self.words
+
+    def head(self, text: str, rest: int) -> str:
+        """The longest word that text begins with, `rest` characters or more being left; '' without one."""
+        return next((text[:n] for n in self.lengths if len(text) - n >= rest and text[:n] in self.words), "")
 
+    def tail(self, text: str, rest: int) -> str:
+        return next((text[-n:] for n in self.lengths if len(text) - n >= rest and text[-n:] in self.words), "")
 
-def cores(value: str, cities: set[str], places: set[str], kinds: set[str]) -> list[str]:
-    """Forms of the name within a value, the likeliest first: without label, decoration, company words, city, branch and kind of shop."""
-    s = _LABEL.sub(" ", _PREFIX.sub("", fold(value)))
+
+_COMPANY = Words(NOISE)
+
+
+def cores(folded: str, cities: Words, places: Words, kinds: Words) -> list[str]:
+    """Forms of the name within a folded value, the likeliest first: without label, decoration, company words, city, branch and kind of shop."""
+    s = _LABEL.sub(" ", _PREFIX.sub("", folded))
 
     def is_place(seg: str) -> bool:
         word = _BRANCH.match(seg)[1]
@@ -86,27 +127,16 @@ def cores(value: str, cities: set[str], places: set[str], kinds: set[str]) -> li
         """Without place and company words at its ends."""
         while True:
             was = seg
-            for city in cities:
-                if seg.startswith(city) and len(seg) > len(city) + 1:
-                    seg = seg[len(city) :].removeprefix("市")
-                    for p in places:
-                        if seg.startswith(p) and len(seg) > len(p) + 1:
-                            seg = seg[len(p) :]
-                            break
-                    seg = _LISTED.sub("", seg)  # a number of the list it was copied from
-                    break
-            for w in _NOISE:
-                if seg.endswith(w) and len(seg) > len(w) + 1:
-                    seg = seg[: -len(w)]
-            if seg.isascii() is False and not _CJK.match(seg[:1] or "a"):
-                for w in kinds:
-                    if seg.endswith(w) and len(seg) > len(w) + 2:
-                        seg = seg[: -len(w)]
+            if city := cities.head(seg, 2):
+                seg = seg[len(city) :].removeprefix("市")
+                seg = _LISTED.sub("", seg[len(places.head(seg, 2)) :])  # a number of the list it was copied from
+            while word := _COMPANY.tail(seg, 2):
+                seg = seg[: -len(word)]
+            if seg.isascii() is False and not _CJK.match(seg[:1] or "a") and (word := kinds.tail(seg, 3)):
+                seg = seg[: -len(word)]
             tail = _NUMBERED.match(seg)
-            for p in places:
-                if tail[1].endswith(p) and len(tail[1]) > len(p) + 1 and tail[2]:
-                    seg = tail[1][: -len(p)]
-                    break
+            if tail[2] and (word := places.tail(tail[1], 2)):
+                seg = tail[1][: -len(word)]
             if seg == was:
                 return seg
 
@@ -134,97 +164,233 @@ def cores(value: str, cities: set[str], places: set[str], kinds: set[str]) -> li
     return out
 
 
-def branch_places(values: DataFrame, value: str) -> list[str]:
-    """Words that stand behind at least PLACE_SHARE of all different values, in a bracket or behind a separator: at most 1 / PLACE_SHARE."""
+def edits(a: str, b: str) -> int:
+    """Levenshtein distance."""
+    if a == b:
+        return 0
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def one_slip(core: str, entry: str) -> bool:
+    """Whether two cores are the same or differ by one typing slip: a character more, less or exchanged, or two in each other's place.
+
+    One character exchanged in a short Chinese name makes another name.
+    """
+    d = edits(core, entry)
+    if d == 0:
+        return True
+    same = len(core) == len(entry)
+    if d > 1 and not (d == 2 and same and sorted(core) == sorted(entry)):
+        return False
+    least = (4 if same else 3) if _HAN.search(entry) else 5
+    return min(len(core), len(entry)) >= least
+
+
+class NameIndex:
+    """The known names with their tokens by rarity; finds all names of Jaccard similarity `similar` by their rare prefixes."""
+
+    def __init__(self, names: list[tuple], similar: float):
+        self.names, self.similar = names, similar  # (ident, name, known, entry)
+        sets = [tokens(n[3]) for n in names]
+        freq: dict[str, int] = {}
+        for s in sets:
+            for t in s:
+                freq[t] = freq.get(t, 0) + 1
+        self.order = {t: k for k, t in enumerate(sorted(freq, key=lambda t: (freq[t], t)))}
+        self.sets = [frozenset(s) for s in sets]
+        self.at: dict[str, list[tuple[int, int]]] = {}
+        for k, s in enumerate(sets):
+            for p, t in enumerate(sorted(s, key=self.order.__getitem__)[: self.prefix(len(s))]):
+                self.at.setdefault(t, []).append((k, p))
+        self.found: dict[str, list[tuple[int, float]]] = {}
+
+    def prefix(self, size: int) -> int:
+        return size - math.ceil(size * self.similar - EPS) + 1
+
+    def search(self, core: str) -> list[tuple[int, float]]:
+        """(number of the name, Jaccard) of all names similar enough."""
+        hits = self.found.get(core)
+        if hits is not None:
+            return hits
+        mine = tokens(core)
+        na = len(mine)
+        known = sorted((t for t in mine if t in self.order), key=self.order.__getitem__)
+        skip = na - len(known)  # tokens that the list doesn't have are the rarest of all
+        seen: set[int] = set()
+        hits, whole = [], set(mine)
+        for p, t in enumerate(known[: max(0, self.prefix(na) - skip)], skip):
+            for k, q in self.at.get(t, ()):
+                nb = len(self.sets[k])
+                if k in seen or not na * self.similar - EPS <= nb <= na / self.similar + EPS:
+                    continue
+                # before the two places at most min(p, q) tokens agree, from them on at most what the shorter rest holds
+                if min(p, q) + min(na - p, nb - q) < math.ceil(self.similar / (1 + self.similar) * (na + nb) - EPS):
+                    continue
+                seen.add(k)
+                common = len(whole & self.sets[k])
+                jaccard = common / (na + nb - common)
+                if jaccard >= self.similar - EPS:
+                    hits.append((k, jaccard))
+        if len(self.found) >= CACHE:
+            self.found.clear()
+        self.found[core] = hits
+        return hits
+
+
+def _branch_places(values: DataFrame, value: str) -> DataFrame:
+    """(w): words that stand behind at least PLACE_HEADS different names, in a bracket or behind a separator."""
     text = F.translate(F.col(value), "（）", "()")
     word = F.regexp_extract(text, r"[(·\- ]([\p{IsHan}]{2,6}?)(?:\d+号)?(?:分店|店)?\)?$", 1)
-    head = F.regexp_extract(text, r"^(.*)[(·\- ][^(·\- ]*$", 1)
-    n = values.count()
-    found = values.select(word.alias("w"), head.alias("h")).where("w <> '' and h <> ''").groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(5, PLACE_SHARE * n))
-    return [r[0] for r in found.select("w").collect()]
+    head = F.lower(F.regexp_replace(F.regexp_extract(text, r"^(.*)[(·\- ][^(·\- ]*$", 1), r"[^\p{L}\p{N}]+", ""))
+    pairs = values.select(word.alias("w"), head.alias("h")).where("w <> '' and h <> ''").distinct()
+    return pairs.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= PLACE_HEADS).select("w")
+
+
+def _parts_with_words(values: DataFrame, words: DataFrame, chars) -> DataFrame:
+    """(value, words): for each value the words (role and word in one) among the parts of its folded form, by an equi-join; for more words than can be sent."""
+    longest = words.agg(F.coalesce(F.max(F.length("w")), F.lit(1))).first()[0]
+
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for v in b["value"]:
+                s = chars.value.fold(v)
+                yield pd.DataFrame({"value": v, "w": sorted({s[i : i + n] for i in range(len(s)) for n in range(1, min(longest, len(s) - i) + 1)})})
 
+    hits = values.mapInPandas(parts, "value string, w string").join(words, "w").groupBy("value").agg(F.collect_list(F.concat("role", "w")).alias("words"))
+    return values.join(hits, "value", "left")
 
-def _few(words: DataFrame) -> list[str]:
-    """The different words of a one-column table, which go into every task; ValueError beyond MOST_WORDS."""
-    found = [r[0] for r in words.distinct().limit(MOST_WORDS + 1).collect() if r[0]]
-    if len(found) > MOST_WORDS:
-        raise ValueError(f"more than {MOST_WORDS} words to strip: this is no column of cities or kinds")
-    return found
 
+def _joined(left: DataFrame, right: DataFrame, similar: float, refine: bool) -> DataFrame:
+    """left (value, written, core, form) with the names (_i, name, known, entry, jaccard) of right similar to the core: the join by shuffle."""
+    @F.pandas_udf("array<string>")
+    def token_set(cs: pd.Series) -> pd.Series:
+        return cs.map(tokens)
 
-def map_values(values: DataFrame, value: str, listed: DataFrame, ident: str, names: list[str], cities: DataFrame | None = None, kind: str | None = None, similar: float = SIMILAR) -> DataFrame:
+    names = right.select("entry").distinct().select("entry", token_set("entry").alias("t"))
+    rarity = names.select(F.explode("t").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
+
+    def prefixes(df: DataFrame, key: str, side: str) -> DataFrame:
+        """The rarest tokens of each row with their places; tokens that the list doesn't have come before all."""
+        flat = df.select(key, F.explode("t").alias("t")).join(rarity, "t", "left")
+        s = flat.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "t"))).alias("s")).select(key, F.col("s.t").alias("s"))
+        size = F.size("s")
+        long = size - F.ceil(size * F.lit(similar) - EPS).cast("int") + 1
+        return s.select(key, F.col("s").alias(f"s_{side}"), F.posexplode(F.slice("s", F.lit(1), long)).alias(f"p_{side}", "t"))
+
+    a = prefixes(left.select("core").distinct().select("core", token_set("core").alias("t")), "core", "a")
+    b = prefixes(names, "entry", "b")
+    na, nb = F.size("s_a"), F.size("s_b")
+    need = F.ceil(F.lit(similar / (1 + similar)) * (na + nb) - EPS)
+    joined = a.join(b, "t").where((nb >= na * similar - EPS) & (nb <= na / similar + EPS))
+    # before the two places at most min(p_a, p_b) tokens agree, from them on at most what the shorter rest holds
+    joined = joined.where(F.least("p_a", "p_b") + F.least(na - F.col("p_a"), nb - F.col("p_b")) >= need)
+    common = F.size(F.array_intersect("s_a", "s_b"))
+    scored = joined.withColumn("jaccard", common / (na + nb - common)).where(F.col("jaccard") >= similar - EPS).select("core", "entry", "jaccard").distinct()
+    if refine:
+        distance = F.levenshtein("core", "entry")
+        letters = lambda c: F.array_sort(F.split(c, ""))
+        same = F.length("core") == F.length("entry")
+        length = F.least(F.length("core"), F.length("entry"))
+        enough = F.when(F.col("entry").rlike(r"\p{IsHan}"), F.when(same, length >= 4).otherwise(length >= 3)).otherwise(length >= 5)
+        scored = scored.where((distance == 0) | (((distance == 1) | ((distance == 2) & same & (letters("core") == letters("entry")))) & enough))
+    matches = cut(scored.join(right, "entry"), "matches")
+    # the values of a popular name are split over tasks, its few matches copied to these
+    return skew.balanced_join(left, matches, skew.plan_load(left, "core"), "value", "inner")
+
+
+def map_values(values: DataFrame, value: str, listed: DataFrame, ident: str, names: list[str], cities: DataFrame | None = None, kind: str | None = None, places: DataFrame | None = None, similar: float = SIMILAR, refine: bool = True) -> DataFrame:
     """(value, ident, name, jaccard): one row for each different value; ident is null where the list doesn't hold it.
 
     value is the text as stored. Nulls and blanks are left out; repeated values give one row. An entry is known by any of the columns `names`.
-    cities: a one-column table of words that may precede a name. kind: a column of the list with words that may follow a name.
-    An empty list leaves all values without entry.
+    cities: a one-column table of words that may precede a name. kind: a column of the list with words that may follow a name. places: a one-column
+    table of words that name a branch; without it, words behind at least PLACE_HEADS different names are taken. An empty list leaves all values without entry.
 
     Tokens are ordered by their rarity in the list; two sets of Jaccard similarity
     `similar` must share a token of their rarest prefixes, so only those are joined.
-    Candidates then pass the length and the positional filter, an exact Jaccard test
-    and a test that they differ by one typing slip. The best one stays: whole form before parts, higher Jaccard, longer name,
-    smaller ident.
+    Candidates then pass the length and the positional filter and an exact Jaccard test. The best Jaccard stays, on ties the whole form before parts, the
+    fewest written differences, the longer name, the smaller ident. refine (optional): only names that differ by one typing slip are candidates.
+
+    A list of up to SMALL_LIST names goes to the tasks as an index, so values are not shuffled by their content and no name can be hot; a
+    longer list is joined by shuffle, with the values of hot names split over tasks (see skew.balanced_join).
     """
+    spark = values.sparkSession
     distinct = values.select(F.col(value).alias("value")).where(F.col("value").isNotNull() & F.col("value").rlike(r"(?U)\S")).distinct()
     distinct = cut(distinct, "typed")
-    place_words = branch_places(distinct, "value")
-    city_words = _few(cities) if cities is not None else []
-    kind_words = _few(listed.select(kind)) if kind else []
-    entries = listed.select(F.col(ident).alias("_i"), F.explode(F.array(*names)).alias("name")).where("name is not null").distinct()
-    n_entries = entries.count()
-    city_set = {fold(c).removesuffix("市") for c in city_words}
-    place_set, kind_set = places_of(map(fold, place_words)), {fold(k) for k in kind_words}
+    chars = spark.sparkContext.broadcast(script(spark))
+    one = lambda df, role: df.select(F.lit(role).alias("role"), F.col(df.columns[0]).cast("string").alias("w"))
+    raw = one(places if places is not None else _branch_places(distinct, "value"), "p")
+    for df, role in ((cities, "c"), (listed.select(kind) if kind else None, "k")):
+        raw = raw.unionByName(one(df, role)) if df is not None else raw
 
-    def forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def level(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(v, c, sound(c), k, tokens(sound(c))) for v in b["value"] for k, c in enumerate(cores(v, city_set, place_set, kind_set))]
-            yield pd.DataFrame(rows, columns=["value", "written", "core", "form", "tokens"])
+            w = [chars.value.fold(x) for x in b["w"]]
+            b["w"] = [x.removesuffix("市") if r == "c" else x for r, x in zip(b["role"], w)]
+            yield b[(b["w"] != "") & ((b["role"] != "p") | (b["w"].str.len() > 1))]
+
+    words = raw.where("w is not null").distinct().mapInPandas(level, "role string, w string").distinct()
+    some = [r[0] + r[1] for r in words.limit(WORDS + 1).collect()]
+    typed = spread(distinct, "value")
+    if len(some) > WORDS:
+        typed, some = _parts_with_words(distinct, cut(words, "words"), chars), None
+    sent = spark.sparkContext.broadcast(some)
+    role = lambda ws, r: Words(w[1:] for w in ws if w[0] == r)
+
+    def forms_of(b: pd.DataFrame) -> Iterator[tuple[str, list[str]]]:
+        """Each value with the forms of its name."""
+        for k, v in enumerate(b["value"]):
+            if k == 0 or sent.value is None:
+                mine = sent.value if sent.value is not None else b["words"].iloc[k] if b["words"].iloc[k] is not None else []
+                sets = [role(mine, r) for r in "cpk"]
+            yield v, cores(chars.value.fold(v), *sets)
 
     def plain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = []
-            for i, n in zip(b["_i"], b["name"]):
-                c = _SYMBOL.sub("", fold(n))
-                if c:
-                    rows.append((i, n, c, sound(c), tokens(sound(c))))
-            yield pd.DataFrame(rows, columns=["_i", "name", "known", "entry", "tokens"])
+            rows = [(i, n, c, chars.value.sounds(c)) for i, n in zip(b["_i"], b["name"]) if (c := _SYMBOL.sub("", chars.value.fold(n)))]
+            yield pd.DataFrame(rows, columns=["_i", "name", "known", "entry"])
 
     id_type = listed.schema[ident].dataType.simpleString()
-    right = entries.mapInPandas(plain, f"_i {id_type}, name string, known string, entry string, tokens array<string>")
-    left = cut(spread(distinct, "value").mapInPandas(forms, "value string, written string, core string, form int, tokens array<string>"), "forms")
-    rarity = right.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
-    hint = F.broadcast if n_entries <= SMALL_LIST else (lambda d: d)
+    entries = listed.select(F.col(ident).alias("_i"), F.explode(F.array(*names)).alias("name")).where("name is not null and _i is not null").distinct()
+    right = entries.mapInPandas(plain, f"_i {id_type}, name string, known string, entry string")
+    known = [tuple(r) for r in right.limit(SMALL_LIST + 1).collect()]
+    out = f"value string, _i {id_type}, name string, jaccard double"
+    if len(known) <= SMALL_LIST:
+        index = spark.sparkContext.broadcast(known)
+
+        def look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            index_here = NameIndex(index.value, similar)
+            for b in batches:
+                rows = []
+                for v, forms in forms_of(b):
+                    top = None
+                    for k, c in enumerate(forms):
+                        core = chars.value.sounds(c)
+                        for n, jaccard in index_here.search(core):
+                            i, name, written, entry = index_here.names[n]
+                            if (top is not None and jaccard < top[0][0]) or (refine and not one_slip(core, entry)):
+                                continue
+                            rank = (jaccard, -k, -edits(c, written), len(entry))
+                            if top is None or rank > top[0] or (rank == top[0] and i < top[1]):
+                                top = (rank, i, name)
+                    rows.append((v, top[1], top[2], top[0][0]) if top else (v, None, None, None))
+                yield pd.DataFrame(rows, columns=["value", "_i", "name", "jaccard"]).astype({"_i": object})
+
+        best = typed.mapInPandas(look_up, out)
+        return best.select(F.col("value").alias(value), F.col("_i").alias(ident), "name", "jaccard")
 
-    def ordered(df: DataFrame, keys: list[str]) -> DataFrame:
-        """Tokens of each row, rarest first; tokens that the list doesn't have come before all."""
-        flat = df.select(*keys, F.explode("tokens").alias("t")).join(hint(rarity), "t", "left")
-        return flat.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "t"))).alias("s")).select(*keys, F.col("s.t").alias("s"))
-
-    def prefixes(df: DataFrame, keys: list[str], side: str) -> DataFrame:
-        size = F.size("s")
-        long = size - F.ceil(size * F.lit(similar) - EPS).cast("int") + 1
-        return df.select(*keys, F.col("s").alias(f"s_{side}"), F.posexplode(F.slice("s", F.lit(1), long)).alias(f"p_{side}", "t"))
-
-    distinct_cores = left.select("core", "tokens").distinct()
-    a = prefixes(ordered(distinct_cores, ["core"]), ["core"], "a")
-    b = prefixes(ordered(right.select("entry", "tokens").distinct(), ["entry"]), ["entry"], "b")
-    na, nb = F.size("s_a"), F.size("s_b")
-    need = F.ceil(F.lit(similar / (1 + similar)) * (na + nb) - EPS)
-    joined = a.join(hint(b), "t").where((nb >= na * similar - EPS) & (nb <= na / similar + EPS))
-    # before the two places at most min(p_a, p_b) tokens agree, from them on at most what the shorter rest holds
-    joined = joined.where(F.least("p_a", "p_b") + F.least(na - F.col("p_a"), nb - F.col("p_b")) >= need)
-    pairs = joined.select("core", "entry", "s_a", "s_b").distinct()
-    common = F.size(F.array_intersect("s_a", "s_b"))
-    scored = pairs.withColumn("jaccard", common / (na + nb - common)).where(F.col("jaccard") >= similar - EPS)
-    distance = F.levenshtein("core", "entry")
-    letters = lambda c: F.array_sort(F.split(c, ""))
-    swapped = (distance == 2) & (F.length("core") == F.length("entry")) & (letters("core") == letters("entry"))
-    cjk = F.col("entry").rlike(r"\p{IsHan}")
-    length = F.least(F.length("core"), F.length("entry"))
-    # one character exchanged in a short Chinese name makes another name
-    slip = F.when(cjk, F.when(F.length("core") == F.length("entry"), length >= 4).otherwise(length >= 3)).otherwise(length >= 5)
-    scored = scored.where((distance == 0) | (((distance == 1) | swapped) & slip)).select("core", "entry", "jaccard")
-    hits = left.select("value", "written", "core", "form").join(scored, "core").join(hint(right.select("_i", "name", "known", "entry")), "entry")
-    rank = F.struct((F.col("jaccard") == 1).cast("int").alias("exact"), (-F.col("form")).alias("form"), (-F.levenshtein("written", "known")).alias("slips"), "jaccard", F.length("entry").alias("n"), (-F.col("_i")).alias("i"))
-    best = hits.groupBy("value").agg(F.max_by(F.struct("_i", "name", "jaccard"), rank).alias("hit"))
+    def forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(v, c, chars.value.sounds(c), k) for v, fs in forms_of(b) for k, c in enumerate(fs)]
+            yield pd.DataFrame(rows, columns=["value", "written", "core", "form"])
+
+    left = cut(typed.mapInPandas(forms, "value string, written string, core string, form int"), "forms")
+    right = cut(right, "entries")
+    hits = _joined(left, right, similar, refine)
+    order = F.struct((-F.col("jaccard")).alias("j"), "form", F.levenshtein("written", "known").alias("slips"), (-F.length("entry")).alias("n"), "_i")
+    best = hits.groupBy("value").agg(F.min_by(F.struct("_i", "name", "jaccard"), order).alias("hit"))
     return distinct.join(best, "value", "left").select(F.col("value").alias(value), F.col("hit._i").alias(ident), "hit.name", "hit.jaccard")
