@@ -42,7 +42,7 @@ _LISTED = regex.compile(r"^\d{1,2}(?=\D{3})")
 _HAN = regex.compile(r"\p{Han}")
 _CJK = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 _SCRIPTS = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]+|[^\p{Han}\p{Hiragana}\p{Katakana}]+")
-_DROPPED = {"Cf", "So", "Sk", "Mn", "Co"}
+_DROPPED = regex.compile(r"[\p{Cf}\p{So}\p{Sk}\p{Mn}\p{Co}]+")
 
 
 @dataclass
@@ -54,9 +54,11 @@ class Script:
 
     def fold(self, text: str) -> str:
         """Level form of a text: width, case, composition, traditional characters; without signs and invisible characters."""
-        text = "".join(c for c in text if unicodedata.category(c) not in _DROPPED)  # before ™ becomes letters
+        if text.isascii():
+            return _DROPPED.sub("", text).lower()
+        text = _DROPPED.sub("", text)  # before ™ becomes letters
         text = unicodedata.normalize("NFKC", text).casefold()
-        return "".join(c for c in text if unicodedata.category(c) not in _DROPPED).translate(self.simple)
+        return _DROPPED.sub("", text).translate(self.simple)
 
     def sounds(self, core: str) -> str:
         """The core with characters of one sound written alike."""
