@@ -14,12 +14,15 @@ from pyspark.sql import functions as F
 from tidewell.session import spread
 
 #: Starts of a span over so many places back are compared one by one, those before them by range maxima; the result is the same.
-REACH = 60
+REACH = 6
 #: Where an end mark has this score, no sentence ends.
 IMPOSSIBLE = -9.0
-#: Inside quotations and brackets of more characters no sentence ends at all; in shorter ones an end mark only scores less. Straight quotes of that length count
-#: where all of the block's are paired, as a stray one (an inch mark) would pair with the next quotation's.
-LONG_PAIR = 400
+#: What an end mark loses inside a quotation or bracket.
+INSIDE = 6.0
+#: Straight quotes of a block in which one has no partner (an inch mark, say, which pairs with the next quotation's) hold less the longer they are: half of INSIDE at so many characters.
+DOUBTFUL = 400
+#: A span of more letters loses LONG for each of the next UP_TO ones. The sum, 2, is less than a cut inside a quotation costs, so quotations of any length stay whole.
+USUAL, LONG, UP_TO = 300, 0.0005, 4_000
 
 # Abbreviations after which a sentence goes on, by language.
 GOES_ON = {
@@ -35,11 +38,15 @@ MAY_END = {*"Ltd Inc Co Corp Jr etc al min sec hr hrs h ft oz lb a.m p.m am pm A
 _FOLDED_ON, _FOLDED_END = {w.lower() for w in GOES_ON}, {w.lower() for w in MAY_END}
 # Month names, before which a number with a point is a date.
 MONTHS = set("Januar Jänner Februar März April Mai Juni Juli August September Oktober November Dezember".split())
+# Words that open a sentence oftener than they go on with one, and words that close one where no end mark stands.
+OPENING = {*"But However Then Still Also Yet Aber Doch Dann Trotzdem Pero Sin Luego Entonces Además Mais Puis Ensuite Pourtant".split()}
+OPENING_CJK = ("但是", "不过", "然后", "而且", "所以", "另外", "可是", "しかし", "でも", "また", "そして", "ただ")
+CLOSING_CJK = ("了", "吧", "吗", "呢", "啊", "呀", "哦", "啦", "です", "ます", "ました", "でした", "ません", "よ", "ね")
 # Words that bring in a speaker.
-SPEECH = regex.compile(r"^[\s\p{Pd}]*(?:\p{L}+[\s]+){0,3}?(?:said|says|asked|asks|shouted|replied|cried|called|added|whispered|wrote|answered|sagte|rief|fragte|meinte|antwortete|dit|demanda|cria|répondit|dijo|preguntó|gritó|respondió|exclamó)\b")
-SPEECH_CJK = regex.compile(r"^[^。！？!?…\n“”「」『』《》（）]{0,12}?(?:说|問い|问|喊|答|叫|嘟囔|表示|言った|言い|聞いた|答え|つぶや)")
+SPEECH = regex.compile(r"(?i)[\s\p{Pd}]*(?:\p{L}+[\s]+){0,3}?(?:said|says|asked|asks|shouted|replied|cried|called|added|whispered|wrote|answered|sagte|rief|fragte|meinte|antwortete|dit|demanda|cria|répondit|dijo|preguntó|gritó|respondió|exclamó)\b")
+SPEECH_CJK = regex.compile(r"[^。！？!?…\n“”「」『』《》（）]{0,12}?(?:说|問い|问|喊|答|叫|嘟囔|表示|言った|言い|聞いた|答え|つぶや)")
 SPEAKS = regex.compile(r"(?i)说|问|喊|答|回复|回覆|叫|表示|写道|言|聞|\b(?:said|says|asked|shouted|replied|wrote|added|sagte|rief|fragte|dit|demande|dijo|preguntó)\b")
-PARTICLE = regex.compile(r"^(?:と|って|という|といった|なんて|など|は(?!い)|が|を|に|の|へ|的)")
+PARTICLE = regex.compile(r"(?:と|って|という|といった|なんて|など|は(?!い)|が|を|に|の|へ|的)")
 
 _BREAK = regex.compile(r"\r\n|[\n\r\u000b\u000c\u0085  ]")
 _SPACE = r"\p{White_Space}"
@@ -62,7 +69,13 @@ _WHITE = regex.compile(rf"[{_SPACE}]+")
 _NOT_NEXT = set(",，、;；:：。.！？!?…)）」』”»]】》〉›")
 _LABEL = regex.compile(rf"[{_SPACE}]*(?:[-*•·–—▪●○◦■□]+[{_SPACE}]+|[(（]?\d{{1,3}}[)）.、．]+[{_SPACE}]*(?=\D)|[①-⑳][{_SPACE}]*|[一二三四五六七八九十]{{1,3}}、|[\p{{L}}][\p{{L}}\p{{N}} ]{{0,14}}[:：][{_SPACE}]*)+")
 _ITEM = regex.compile(rf"[{_SPACE}]*(?:[-*•·–—▪●○◦■□][{_SPACE}]|[(（]?\d{{1,3}}[)）.、．](?!\d)|[①-⑳]|[一二三四五六七八九十]{{1,3}}、|[\p{{L}}][\p{{L}}\p{{N}}]{{0,9}}[:：])")
-_BEFORE = regex.compile(r"[\p{L}\p{N}\p{M}.]+$")
+_WORD_BACK = regex.compile(r"(?r)[\p{L}\p{N}\p{M}.]+")
+_LAST_BACK = regex.compile(r"(?r)[\p{L}\p{N}\p{M}]+")
+_WORD = regex.compile(r"\p{L}+")
+_MEASURE = regex.compile(rf"\d[{_SPACE}]?$")
+_SPACE_OR_ODD = regex.compile(r"\s|[/@_]")
+_STRONG_MARK = regex.compile(f"[{_STRONG}]")
+_POINT = regex.compile("[.…]")
 _WRAP_AT_LEAST = 36
 
 
@@ -145,7 +158,23 @@ def _next(text: str, p: int) -> tuple[int, str]:
     return p, text[p] if p < len(text) else ""
 
 
-def _closing(text: str, start: int, end: int, tail: int, after: int, nxt: str, cased: bool) -> float:
+class _Odd:
+    """Whether the word before a place holds one of / @ _, for places in rising order; the text is read once."""
+
+    def __init__(self, text: str, start: int):
+        self.text, self.read, self.space, self.sign = text, start, -1, -1
+
+    def in_word_before(self, place: int) -> bool:
+        for m in _SPACE_OR_ODD.finditer(self.text, self.read, place):
+            if m[0].isspace():
+                self.space = m.start()
+            else:
+                self.sign = m.start()
+        self.read = max(self.read, place)
+        return self.sign > self.space
+
+
+def _closing(text: str, start: int, end: int, tail: int, after: int, nxt: str, cased: bool, odd: _Odd) -> float:
     """How well text[start:end] (an end mark) and the words before and after it close a sentence. cased: whether upper case tells anything here."""
     mark = text[start:end]
     spaced = after > tail
@@ -169,13 +198,14 @@ def _closing(text: str, start: int, end: int, tail: int, after: int, nxt: str, c
             return -9.0 if nxt.isascii() else 2.0
         return 3.0 + (0.5 if opens else 0.0)
     # a single point
-    before = _BEFORE.search(text, max(0, start - 40), start)
+    if tail == end and not spaced:  # only the letters next to it are read, so that points without spaces between them cost no more than their text
+        before = _LAST_BACK.match(text, 0, start)
+        word = before[0] if before else ""
+        if nxt.isupper() and len(word) > 1 and word[-1].islower() and text[start - len(word) - 1 : start - len(word)] != "." and word not in GOES_ON:
+            return -9.0 if odd.in_word_before(start) else 1.0
+        return 1.5 if cjk and (word and not word[-1].isdigit() or text[start - 1 : start] == ".") else -9.0
+    before = _WORD_BACK.match(text, 0, start)
     word = before[0] if before else ""
-    if tail == end and not spaced:
-        if nxt.isupper() and len(word) > 1 and word[-1].islower() and "." not in word and word not in GOES_ON:
-            lead = text[max(0, start - 60) : start].split()[-1:]
-            return 1.0 if lead and not set("/@_") & set(lead[0]) else -9.0
-        return 1.5 if cjk and word and not word[-1].isdigit() else -9.0
     if lower:
         return -5.0
     score = 2.0 + (1.0 if opens else 0.0)
@@ -185,7 +215,7 @@ def _closing(text: str, start: int, end: int, tail: int, after: int, nxt: str, c
         word, last = word.lower(), last.lower()
     if word in goes_on or last in goes_on:
         return -8.0
-    if word in ("m", "g", "s", "l", "h") and regex.search(rf"\d[{_SPACE}]?$", text[max(0, start - 6) : start - 1]):
+    if word in ("m", "g", "s", "l", "h") and _MEASURE.search(text[max(0, start - 6) : start - 1]):
         return score - 0.5 if opens or not cased else -1.0  # a unit
     if len(last) == 1 and last.isalpha() and (last.isupper() or last.isascii()) and word not in may_end:
         return -8.0  # initials
@@ -194,7 +224,7 @@ def _closing(text: str, start: int, end: int, tail: int, after: int, nxt: str, c
             return -8.0
         return score - 1.5 if opens else -1.0
     if word.isdigit():
-        follower = regex.match(r"\p{L}+", text, pos=after)
+        follower = _WORD.match(text, after)
         if follower and follower[0].capitalize() in MONTHS:
             return -8.0
     return score
@@ -203,7 +233,7 @@ def _closing(text: str, start: int, end: int, tail: int, after: int, nxt: str, c
 def _candidates(text: str, start: int, opener: dict[int, int], cased: bool) -> list[tuple[int, int, float, int, str]]:
     """Where a sentence may end: (end of the sentence, start of the next, score, place of the mark that the last closing one pairs with, that closing mark)."""
     out = []
-    at = start
+    at, odd = start, _Odd(text, start)
     for m in _END.finditer(text, start):
         if m.start() < at:
             continue
@@ -221,7 +251,7 @@ def _candidates(text: str, start: int, opener: dict[int, int], cased: bool) -> l
         after, nxt = _next(text, tail)
         if not nxt:
             break
-        score = _closing(text, m.start(), end, tail, after, nxt, cased)
+        score = _closing(text, m.start(), end, tail, after, nxt, cased, odd)
         last = next((k for k in range(tail - 1, end - 1, -1) if k in opener), -1)
         out.append((tail, after, score, opener.get(last, -1), text[last] if last >= 0 else ""))
         at = tail
@@ -289,85 +319,86 @@ def _pieces(text: str, a: int, b: int) -> list[tuple[int, int]]:
         head = lead
     opener = _matched(block)
     body = block[head:]
-    n_letters = sum(map(str.isalnum, body))
-    thai = len(_THAI.findall(body)) if _THAI.search(body) else 0
-    has_end = any(c in body for c in _STRONG) or regex.search(r"[.…]", body) is not None and not _CJK.search(body)
-    has_cjk = not thai and not body.isascii() and len(_CJK.findall(body)) * 2 > n_letters
-    cased = any(c.islower() for c in body) and any(c.isupper() for c in body)
+    plain = body.isascii()
+    n_letters = 0 if plain else sum(map(str.isalnum, body))
+    thai = 0 if plain or not _THAI.search(body) else len(_THAI.findall(body))
+    has_cjk = not plain and not thai and len(_CJK.findall(body)) * 2 > n_letters
+    cased = not (body.islower() or body.isupper()) and body.lower() != body.upper()
     ends = _candidates(block, head, opener, cased)
-    ends += _emoji_ends(block, head, {e[0] for e in ends}, cased)
-    if (thai and thai * 2 > n_letters) or (has_cjk and not has_end and not any(c in body for c in "…")):
-        known = {e[1] for e in ends}
-        for m in _WHITE.finditer(block, head):
-            if m.end() not in known and m.end() < len(block) and block[m.start() - 1] not in ":：":
-                ends.append((m.start(), m.end(), 3.0, -1, ""))
+    if not plain:
+        ends += _emoji_ends(block, head, {e[0] for e in ends}, cased)
+        if (thai and thai * 2 > n_letters) or (has_cjk and "…" not in body and not _STRONG_MARK.search(body) and not (_POINT.search(body) and not _CJK.search(body))):
+            known = {e[1] for e in ends}
+            for m in _WHITE.finditer(block, head):
+                if m.end() not in known and m.end() < len(block) and block[m.start() - 1] not in ":：":
+                    ends.append((m.start(), m.end(), 3.0, -1, ""))
     ends = sorted(e for e in ends if e[2] > IMPOSSIBLE)
-    inside, held = [0] * (len(block) + 2), [0] * (len(block) + 2)
-    straight = sum(block[k] == '"' for k in opener)
-    for close, open_ in opener.items():
-        if close - open_ <= LONG_PAIR:
-            inside[open_ + 1] += 1
-            inside[close + 1] -= 1
-        elif block[close] != '"' or block.count('"') == 2 * straight:
-            held[open_ + 1] += 1
-            held[close + 1] -= 1
-    if any(held):
-        hold = list(accumulate(held))
-        ends = [e for e in ends if not hold[e[0]]]
     if not ends:
         return [(a + lead, a + len(block))]
-    depth = list(accumulate(inside))
+    depth = None
+    if opener:
+        weight = [0.0] * (len(block) + 2)
+        doubtful = block.count('"') != 2 * sum(block[k] == '"' for k in opener)
+        for close, open_ in opener.items():
+            w = INSIDE * DOUBTFUL / (DOUBTFUL + close - open_) if doubtful and block[close] == '"' else INSIDE
+            weight[open_ + 1] += w
+            weight[close + 1] -= w
+        depth = list(accumulate(weight))
     stops = [(lead, lead, 0.0, -1, "")] + ends + [(len(block), len(block), 0.0, -1, "")]
     letters = [0, *accumulate(map(str.isalnum, block))]
     begins = [x[1] for x in stops]
     begun = [letters[x] for x in begins]
     flat, sloped = _Maxima(), _Maxima()
-    best, back = [0.0], [0]
+    best, back = [_opens(block, lead, plain, cased)], [0]
     for j in range(1, len(stops)):
         end, after, closing, opened, closer = stops[j]
         last = j == len(stops) - 1
-        fixed = closing - (6.0 * depth[end] if not last else 0.0)
-        rest = ""
+        fixed = closing
+        if not last:
+            if depth is not None:
+                fixed -= depth[end]
+            if not plain and block.endswith(CLOSING_CJK, 0, end):
+                fixed += 0.25
+        speech = bracket = 0.0
         if closer and not last:
-            rest = block[end : end + 80]
-            if closer in _QUOTES and PARTICLE.match(rest):
-                fixed -= 7.0
-            if closer in _BRACKETS and PARTICLE.match(rest):
-                fixed -= 4.0
-            lead_in = block[:opened].rstrip()
+            if closer in _QUOTES:
+                if PARTICLE.match(block, end):
+                    fixed -= 7.0
+                if SPEECH_CJK.match(block, end) or SPEECH.match(block, end):
+                    speech = 6.0
+            elif closer in _BRACKETS:
+                bracket = 4.0
+                if PARTICLE.match(block, end):
+                    fixed -= 4.0
+            lead_in = block[:opened].rstrip() if speech or bracket else ""
             fresh = not lead_in or lead_in[-1] in _STRONG + "." or (opened == head and not SPEAKS.search(lead_in))
+        told = bool(speech or bracket)
         top, arg = -1e18, j - 1
         far = max(0, j - REACH)
         places: Iterable[int] = range(j - 1, far - 1, -1)
+        here = letters[end]
         if far:
             # the score of a start is its best, and terms that are the same, or in line with its letters, between these bounds
             flat.append(best[far - 1])
-            sloped.append(best[far - 1] + 0.0005 * begun[far - 1])
-            long_to = bisect_left(begun, letters[end] - 300, 0, far)
-            bounds = {0, far, long_to, bisect_left(begun, letters[end] - 1, 0, far), bisect_left(begun, letters[end], 0, far)}
-            if closer and not last:
+            sloped.append(best[far - 1] + LONG * begun[far - 1])
+            longest, usual = (bisect_left(begun, here - n, 0, far) for n in (USUAL + UP_TO, USUAL))
+            bounds = {0, far, longest, usual, bisect_left(begun, here - 1, 0, far), bisect_left(begun, here, 0, far)}
+            if told:
                 bounds.add(bisect_left(begins, opened, 0, far))
             cuts = sorted(bounds, reverse=True)
-            places = chain(places, ((sloped if y <= long_to else flat).last_best(x, y) for y, x in zip(cuts, cuts[1:])))
+            places = chain(places, ((sloped if longest < y <= usual else flat).last_best(x, y) for y, x in zip(cuts, cuts[1:])))
         for i in places:
-            begin = stops[i][1]
             score = best[i] + fixed
-            n = letters[end] - letters[begin]
-            if n == 0:
-                score -= 8.0  # symbols alone are no sentence
-            elif n == 1:
-                score -= 0.5
-            score -= 0.0005 * max(0, n - 300)
-            if closer and not last:
-                starts_it = opened <= begin or fresh
-                if closer in _QUOTES:
-                    if starts_it and (SPEECH_CJK.match(rest) or SPEECH.match(rest.lower())):
-                        score -= 6.0
-                elif closer in _BRACKETS and not starts_it:
-                    score -= 4.0
+            n = here - begun[i]
+            if n <= 1:
+                score -= 0.5 if n else 8.0  # symbols alone are no sentence
+            elif n > USUAL:
+                score -= LONG * min(n - USUAL, UP_TO)
+            if told:
+                score -= speech if opened <= begins[i] or fresh else bracket
             if score > top:
                 top, arg = score, i
-        best.append(top)
+        best.append(top + (0.0 if last else _opens(block, after, plain, cased)))
         back.append(arg)
     spans, j = [], len(stops) - 1
     while j > 0:
@@ -377,6 +408,17 @@ def _pieces(text: str, a: int, b: int) -> list[tuple[int, int]]:
     return spans[::-1]
 
 
+def _opens(text: str, place: int, plain: bool, cased: bool) -> float:
+    """How well the word at a place opens a sentence."""
+    word = _WORD.match(text, place)
+    if word is None:
+        return 0.0
+    if not plain and text.startswith(OPENING_CJK, place):
+        return 0.25
+    w = word[0]
+    return 0.25 if w in OPENING else -0.25 if cased and w.islower() else 0.0
+
+
 def split_sentences(text: str | None) -> list[tuple[int, int]]:
     """(start, end) of each sentence in code points, without outer white space; none for null, empty and white-space-only texts."""
     if not text:
