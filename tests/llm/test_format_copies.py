@@ -59,3 +59,25 @@ def test_line_breaks_inside_parts(texts):
 def test_line_breaks_part_values():
     assert canonical_text("Fit:\nsnug | Taste: sweet") != canonical_text("Fit:\nsweet | Taste: snug")
     assert canonical_text("I bought two.\nPros: light\nCons: none") == canonical_text("I bought two. Pros: light Cons: none")
+
+
+def test_invisible_marks_and_fillers():
+    want = canonical_text("ab")
+    for c in ("\ufe0f", "\u034f", "\u3164", "\u115f", "\uffa0", "\u200b", "\u00ad", "\U000e0101", "\u180b"):
+        assert canonical_text(f"a{c}b") == want, repr(c)
+    assert canonical_text("e\u0301") == canonical_text("é") != canonical_text("e")
+
+
+def test_only_tags_are_markup():
+    assert canonical_text("x<y and z>w") == "xyandzw" != canonical_text("xw")
+    assert canonical_text("if a <b then c> d") != canonical_text("if a d")
+    for t in ("so<br>good", "so<br/>good", '<p class="a b">so</p> good', "<b>so</b> <a href='x' target=_blank>good</a>", "so <!-- no -->good", "<input disabled>so good", "<BR />so good"):
+        assert canonical_text(t) == "sogood", t
+
+
+def test_labelled_parts_behind_invisible_characters_and_end_marks():
+    want = canonical_text("Smell: oily; Weight: 210 g; Days used: 238")
+    for t in ("Smell:\u200b oily,\u200b Weight: 210 g, Days used: 238", "Days used: 238.. Weight: 210 g.. Smell: oily!!!", "Weight: 210 g! Smell: oily. Days used: 238.", "Days used: 238 - Weight: 210 g – Smell: oily", "• Smell: oily • Days used: 238 • Weight: 210 g"):
+        assert canonical_text(t) == want, t
+    assert canonical_text("non-stick: yes; anti-rust: no") == canonical_text("anti-rust: no - non-stick: yes")
+    assert canonical_text("It was 3.5: fine. Good") != canonical_text("Good. It was 3.5: fine")

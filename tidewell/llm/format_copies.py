@@ -13,12 +13,16 @@ from xxhash import xxh3_128_hexdigest
 
 from tidewell.session import cut, partitions_of, spread
 
-_TAG = regex.compile(r"</?[A-Za-z][^<>]*>|<!--.*?-->", regex.S)
+# Attributes of markup that are written without a value.
+BARE = "allowfullscreen async autofocus autoplay checked controls default defer disabled hidden loop multiple muted nomodule novalidate open playsinline readonly required reversed selected"
+# A tag as the markup grammar has it: a name, then attributes with values or of the few without; "x <y and z> w" holds none.
+_TAG = regex.compile(rf"""</[A-Za-z][A-Za-z0-9:-]*\s*>|<[A-Za-z][A-Za-z0-9:-]*(?:\s+(?:[A-Za-z_:@][\w:.@-]*\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'=<>`]+)|(?i:{BARE.replace(" ", "|")})(?=[\s/>])))*\s*/?>|<!--.*?-->""", regex.S)
 _ENTITY = regex.compile(r"&(?:#\d+|#[xX][0-9a-fA-F]+|\w+);")
-_OTHER = regex.compile(r"[^\p{L}\p{N}\p{M}]+")
-_MARKS = regex.compile(r"^\p{M}+")
-_HARD = regex.compile(r"[;|/]+|,(?=\s*[^\W\d_][^:,;|/\n]{0,40}:)")
-_HARD_WRAPPED = regex.compile(r"[;|/]+|,(?=\s*[^\W\d_][^:,;|/]{0,40}:)")
+# Letters, digits and marks stay, but those that are never shown: variation selectors, joiners, fillers.
+_OTHER = regex.compile(r"(?:[^\p{L}\p{N}\p{M}]|\p{Default_Ignorable_Code_Point})+")
+# What parts labelled parts: some marks anywhere, others before a label only, dashes there between white space.
+_HARD, _HARD_WRAPPED = (regex.compile(rf"[;|/]+|[,.!?。！？…•·]+(?=\s*{label})|(?<=\s)\p{{Pd}}+(?=\s+{label})") for label in (r"[^\W\d_][^:,;|/\n]{0,40}:", r"[^\W\d_][^:,;|/]{0,40}:"))
+_IGNORABLE = regex.compile(r"\p{Default_Ignorable_Code_Point}+")
 _LABEL = regex.compile(r"[\W_]*[^\W\d_][^:\n]{0,40}:")
 _LABEL_WRAPPED = regex.compile(r"[\W_]*[^\W\d_][^:\n.!?。！？]{0,40}\n[^:\n]{0,40}:")
 _UNIT = regex.compile(r"\d\s*\n\s*\p{L}{1,3}\s*\n")
@@ -68,7 +72,7 @@ def canonical_text(text: str | None) -> str | None:
     """Letters, marks and digits of a text after markup, entities, case, width and composition are levelled; null if there are no letters or digits.
 
     A text that consists of labelled parts only ("Name: value", two or more, parted by
-    line breaks, ; | / or commas) has its parts sorted. A line break within a label or value is white space.
+    line breaks, ; | / or before a label by commas, end marks and dashes) has its parts sorted. A line break within a label or value is white space.
     """
     if text is None:
         return None
@@ -82,6 +86,7 @@ def canonical_text(text: str | None) -> str | None:
         text = _TAG.sub("\n" if ":" in text else " ", text)
     text = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", text).casefold()) if not text.isascii() else text.lower()
     if ":" in text:
+        text = _IGNORABLE.sub("", text)
         labelled = _labelled_parts(text.replace("\r", "\n"))
         if labelled:
             return "\x1f".join(sorted(f"{_letters(m[1])}\x1e{_letters(m[2])}" for m in labelled))

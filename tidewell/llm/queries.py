@@ -63,6 +63,12 @@ def p3_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sets.select("source_table", "keep_id", "n_copies")
 
 
+def p3_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that occur in several reviews of a table, whoever wrote them, with the number of reviews; 20 or more make a text hot."""
+    _, sets = format_copies.collapse(_reviews(spark, sf_dir), ["source_table"], "text", "review_id", hot=20)
+    return sets.where("n_copies > 1").select("source_table", "keep_id", "n_copies")
+
+
 def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "user_seq").select(strip(F.col("custref_no")).alias("custref_no"), shop_key(F.col("shopid")).alias("shopid"), F.when(strip(F.col("event")).isNotNull(), event_name(F.col("event"))).alias("event"), epoch_ms(F.col("event_time")).alias("ms"), "event_id")
     return runs.collapse_runs(events, "custref_no", "ms", "event_id", ["shopid", "event"], breaks=["event"])
@@ -96,7 +102,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentences.sentences(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p2_pairs, p3_found, p3_sets, p7_found, p7_runs, p8_ids, p9_found, p9_leaks, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_unmatched, p2_found, p2_pairs, p3_found, p3_sets, p3_texts, p7_found, p7_runs, p8_ids, p9_found, p9_leaks, p10_found)}
 
 _WIDE = "translate(shopid, '０１２３４５６７８９', '0123456789')"
 _CLEAN = rf"""
