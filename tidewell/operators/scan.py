@@ -23,14 +23,15 @@ from tidewell.session import cut
 MARKS = "edge boolean, part int, place long"
 
 
-def ordered_scan(df: DataFrame, order: list[str], scanner: Callable[[], object], schema: str, label: str) -> DataFrame:
+def ordered_scan(df: DataFrame, order: list[str], scanner: Callable[[], object], schema: str, label: str, before: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Scan df's partitions in the order given; the result is a table in the shared folder with schema + MARKS.
 
+    before: projection of the sorted rows that the scanner gets. Costly columns belong there and not into df, whose
+    columns the range partitioner computes twice, once for its sample.
+
     scanner() makes an object with push(batch) and close(), each giving a list of
     dicts of columns (lists or arrays) for the groups that are complete.
     """
-    names = [x.split()[0] for x in schema.split(", ")]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, place, held = TaskContext.get().partitionId(), 0, None
         scan = scanner()
@@ -69,8 +70,9 @@ def ordered_scan(df: DataFrame, order: list[str], scanner: Callable[[], object],
                 yield out(groups.slice(0, n - 1), False)
             yield out(groups.slice(n - 1), True)
 
-    assert names
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    if before is not None:
+        ordered = before(ordered)
     return cut(ordered.mapInArrow(run, f"{schema}, {MARKS}"), label)
 
 
