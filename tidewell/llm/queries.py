@@ -70,8 +70,9 @@ def p3_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "user_seq").select(strip(F.col("custref_no")).alias("custref_no"), shop_key(F.col("shopid")).alias("shopid"), F.when(strip(F.col("event")).isNotNull(), event_name(F.col("event"))).alias("event"), epoch_ms(F.col("event_time")).alias("ms"), "event_id")
-    return runs.collapse_runs(events, "custref_no", "ms", "event_id", ["shopid", "event"], breaks=["event"])
+    events = table(spark, sf_dir, "user_seq").select(strip(F.col("custref_no")).alias("custref_no"), "shopid", "event", epoch_ms(F.col("event_time")).alias("ms"), "event_id")
+    same = {"shopid": shop_key, "event": lambda c: F.when(strip(c).isNotNull(), event_name(c))}
+    return runs.collapse_runs(events, "custref_no", "ms", "event_id", same, breaks=["event"])
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.operators.scan import join_ends, ordered_scan
@@ -34,6 +35,9 @@ class _Runs:
         self.gap, self.open = gap, None
 
     def push(self, batch: pa.RecordBatch) -> pa.Table | None:
+        batch = batch.filter(batch.column(4))
+        if batch.num_rows == 0:
+            return None
         user, key = batch.column(0).dictionary_encode(), batch.column(3).dictionary_encode()
         t = batch.column(1).to_numpy(zero_copy_only=False)
         known = key.indices.is_valid().to_numpy(zero_copy_only=False)
@@ -76,11 +80,12 @@ class _Runs:
         return pa.table({"user": text(user), "key": text(key), "start_ms": pa.array(start, pa.int64()), "end_ms": pa.array(end, pa.int64()), "n_events": pa.array(n, pa.int64())})
 
 
-def collapse_runs(events: DataFrame, user: str, time_ms: str, event_id: str, same: list[str], gap_ms: int = 600_000, least: int = 2, breaks: list[str] | None = None) -> DataFrame:
+def collapse_runs(events: DataFrame, user: str, time_ms: str, event_id: str, same: list[str] | dict[str, Callable[[Column], Column]], gap_ms: int = 600_000, least: int = 2, breaks: list[str] | None = None) -> DataFrame:
     """(user, *same, start_ms, end_ms, duration_ms, n_events): every longest run of `least` or more events of a user, one after
     another in time, that agree in `same`, each at most gap_ms after the one before.
 
-    Rows with a null in user, time or any column of `same` are left out before; but where a column of `same` that is among
+    same: columns, or for each column the expression of it that is compared; these are computed after the exchange, as
+    a range partitioner's sampling would compute them a second time before it. Rows with a null in user, time or any value of `same` are left out before; but where a column of `same` that is among
     `breaks` is null, the row stays in the order as an event that is like no other, so it ends a run.
     An event stored again (same user, time and id) counts once; rows with null id each count. Ties in time are taken by length and
     text of the id, so the result is determined. An empty table gives none.
@@ -90,17 +95,23 @@ def collapse_runs(events: DataFrame, user: str, time_ms: str, event_id: str, sam
     strings are those of a range partition's batches, with runs carried over their
     ends, so a user with a third of all events is spread over many tasks.
     """
-    ok = F.lit(True)
-    known = F.lit(True)
-    for c in [user, time_ms, *same]:
+    level = same if isinstance(same, dict) else {c: lambda x: x for c in same}
+    ident = F.col(event_id).cast("string")
+    raw = [F.col(c).alias(f"raw{k}") for k, c in enumerate(level)]
+    rows = events.select(F.col(user).cast("string").alias("user"), F.col(time_ms).cast("long").alias("t"), F.concat(F.lpad(F.length(ident).cast("string"), 9, "0"), ident).alias("id"), *raw).where("user is not null and t is not null")
+    values = [f(F.col(f"raw{k}")).cast("string").alias(f"v{k}") for k, f in enumerate(level.values())]
+    ok = known = F.lit(True)
+    for k, c in enumerate(level):
         if c in (breaks or []):
-            known = known & F.col(c).isNotNull()
+            known = known & F.col(f"v{k}").isNotNull()
         else:
-            ok = ok & F.col(c).isNotNull()
-    ident = F.col(event_id).cast("string")
-    rows = events.where(ok).select(F.col(user).cast("string").alias("user"), F.col(time_ms).cast("long").alias("t"), F.concat(F.lpad(F.length(ident).cast("string"), 9, "0"), ident).alias("id"), F.when(known, F.to_json(F.array(*(F.col(c).cast("string") for c in same)))).alias("key"))
-    scanned = ordered_scan(rows, ["user", "t", "id"], lambda: _Runs(gap_ms), "user string, key string, start_ms long, end_ms long, n_events long", "runs")
+            ok = ok & F.col(f"v{k}").isNotNull()
+
+    def levelled(df: DataFrame) -> DataFrame:
+        return df.select("user", "t", "id", *values).select("user", "t", "id", F.when(known, F.to_json(F.array(*(f"v{k}" for k in range(len(level)))))).alias("key"), ok.alias("ok"))
+
+    scanned = ordered_scan(rows, ["user", "t", "id"], lambda: _Runs(gap_ms), "user string, key string, start_ms long, end_ms long, n_events long", "runs", levelled)
     worth = scanned.where(F.col("edge") | (F.col("n_events") >= least))
     whole = join_ends(worth, ["user"], ["key"], gap_ms, ["n_events"]).where(F.col("key").isNotNull() & (F.col("n_events") >= least))
     parts = F.from_json("key", "array<string>")
-    return whole.select(F.col("user").alias(user), *(parts[i].alias(c) for i, c in enumerate(same)), "start_ms", "end_ms", (F.col("end_ms") - F.col("start_ms")).alias("duration_ms"), "n_events")
+    return whole.select(F.col("user").alias(user), *(parts[i].alias(c) for i, c in enumerate(level)), "start_ms", "end_ms", (F.col("end_ms") - F.col("start_ms")).alias("duration_ms"), "n_events")
