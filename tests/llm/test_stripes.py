@@ -69,3 +69,30 @@ def test_llr(spark):
     one = spark.range(1).select(stripes.log_likelihood_ratio(*(F.lit(float(x)) for x in (k, a, b, n)))).first()[0]
     zero = spark.range(1).select(stripes.log_likelihood_ratio(*(F.lit(float(x)) for x in (10, 100, 100, 1000)))).first()[0]
     assert abs(one - want) < 1e-9 and abs(zero) < 1e-9
+
+
+def test_significance_cuts(spark):
+    rows = made(2)
+    free = run(spark, rows, least=2, lift=1.5, least_llr=0.0).collect()
+    bound = sorted(r.llr for r in free)[len(free) // 2]
+    want = {(r.item_a, r.item_b) for r in free if r.llr >= bound}
+    got = {(r.item_a, r.item_b) for r in run(spark, rows, least=2, lift=1.5, least_llr=bound).collect()}
+    assert got == want and 0 < len(want) < len(free)
+    assert keyed(run(spark, rows, least=2, lift=1.5)) == {(r.item_a, r.item_b, r.n_both, r.n_a, r.n_b, r.n_baskets) for r in free}
+
+
+def test_implied_ratio_is_a_lower_bound():
+    rng = random.Random(5)
+    for _ in range(3_000):
+        n = rng.randrange(50, 5_000)
+        a, b = rng.randrange(4, n // 5 + 4), rng.randrange(4, n // 5 + 4)
+        k = rng.randrange(4, min(a, b) + 1)
+        if k * n < 5 * a * b or n - a - b + k < 0:
+            continue
+        cells = [(k, a * b / n), (a - k, a * (n - b) / n), (b - k, (n - a) * b / n), (n - a - b + k, (n - a) * (n - b) / n)]
+        assert 2 * sum(o * math.log(o / e) for o, e in cells if o) >= stripes.implied_llr(4, 5.0) - 1e-9
+
+
+def test_many_items_are_joined_in_shards(spark, monkeypatch):
+    monkeypatch.setattr(stripes, "SMALL_COUNTS", 0)
+    assert keyed(run(spark, made())) == brute(made())

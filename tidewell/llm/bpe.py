@@ -29,9 +29,11 @@ _NONE = 1 << 30
 class Encoder:
     """ids of texts; special tokens' strings are ordinary text."""
 
-    def __init__(self, path: str = VOCABULARY):
-        with open(path, "rb") as f:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    def __init__(self, path: str = VOCABULARY, content: bytes | None = None):
+        if content is None:
+            with open(path, "rb") as f:
+                content = f.read()
+        self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, content.splitlines())}
         self.words = regex.compile(PATTERN)
         self.known: dict[str, list[int]] = {}
 
@@ -108,23 +110,26 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def _encoder(content: bytes) -> Encoder:
     """One for each worker process."""
-    return Encoder(path)
+    return Encoder(content=content)
 
 
 def encode_texts(docs: DataFrame, key: str, text: str, path: str = VOCABULARY) -> DataFrame:
     """(key, ids array<int>): one row for each row of docs, without special tokens; [] for null and empty texts.
 
     White-space and symbol texts get their ids like any other. Rows keep their number, order and repeats; other columns are ignored.
-    No shuffle: each partition is encoded where it is read, with a cache of words.
+    Each partition is encoded where it is read, with a cache of words; only a table of a few MB is spread first (see session.spread).
+    The vocabulary file is read by the driver and goes to the tasks with the job, so executors need no copy of it; its size doesn't depend on the data.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     rows = spread(rows, "key", "text")
+    with open(path, "rb") as f:
+        sent = docs.sparkSession.sparkContext.broadcast(f.read())
     kind = rows.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(path)
+        e = _encoder(sent.value)
         for b in batches:
             flat, ends = [], [0]
             for t in b.column(1):

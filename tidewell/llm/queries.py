@@ -34,7 +34,7 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "user_seq")
     day = F.floor(epoch_ms(F.col("event_time")) / F.lit(86_400_000))
     rows = events.select(strip(F.col("custref_no")).alias("who"), day.alias("day"), shop_key(F.col("shopid")).alias("shop"))
-    return stripes.co_occurrence(rows, ["who", "day"], "shop")
+    return stripes.co_occurrence(rows, ["who", "day"], "shop", 4, 5.0, stripes.implied_llr(4, 5.0))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:

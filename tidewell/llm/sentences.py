@@ -442,7 +442,7 @@ def sentences(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     Null, empty and white-space-only texts have none, a text of symbols only is one sentence. Texts are read whole, of any length. Rows that
     repeat with the same key and text give the same rows, which are kept once for each row.
-    No shuffle: documents are split where they are read.
+    Documents are split where they are read; only a table of a few MB is spread first (see session.spread).
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).where("text is not null and text <> ''")
     rows = spread(rows, "key", "text")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.operators import skew
 from tidewell.session import cut
 
 #: A basket of more items is taken in block pairs of about this many items, so that no task holds more.
@@ -18,6 +20,8 @@ BLOCK = 1_000
 PAIRS = 2_000_000
 #: An item's neighbours are merged in parts, one part for so many baskets that hold the item.
 PART = 5_000
+#: The items' counts are broadcast up to so many items; beyond that the join splits items that many baskets hold over tasks.
+SMALL_COUNTS = 500_000
 
 _STRIPE = "a string, part int, n_a long, b array<string>, n_b array<long>, n array<long>"
 
@@ -33,6 +37,15 @@ def log_likelihood_ratio(both, a, b, n):
     return F.greatest(F.lit(0.0), 2.0 * (h(k[0] + k[1], k[2] + k[3]) + h(k[0] + k[2], k[1] + k[3]) - h(*k)))
 
 
+def implied_llr(least: int, lift: float) -> float:
+    """The least log-likelihood ratio of a pair with `least` baskets or more and that lift or more: 2 * least * (ln lift - 1 + 1 / lift).
+
+    With e expected and k = n_both, x = k - e, the first cell gives k ln(k / e), the two beside it -x at least each, as ln(1 + u) <= u, the
+    last x at least; the sum k ln(k / e) - x grows with k and with k / e.
+    """
+    return 2.0 * least * (math.log(lift) - 1 + 1 / lift) if lift > 1 else 0.0
+
+
 def _pairs_of(sizes_l: np.ndarray, sizes_r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs (left, right) of every group's cross product, groups lying one behind the other."""
     cells = sizes_l * sizes_r
@@ -116,9 +129,9 @@ def _merged(least: int):
     return run
 
 
-def co_occurrence(rows: DataFrame, basket: list[str], item: str, least: int = 4, lift: float = 5.0) -> DataFrame:
+def co_occurrence(rows: DataFrame, basket: list[str], item: str, least: int = 4, lift: float = 5.0, least_llr: float | None = None) -> DataFrame:
     """(item_a, item_b, n_both, n_a, n_b, n_baskets, lift, llr) of the pairs, a < b as text, that at least `least` baskets
-    hold and whose n_both * n_baskets >= lift * n_a * n_b.
+    hold, whose n_both * n_baskets >= lift * n_a * n_b and whose log-likelihood ratio is at least least_llr (None: what the first two imply).
 
     A basket is the set of its items: repeated rows count once. Rows without item or
     with a null in the basket's key are left out. Empty in, empty out. Other columns are ignored.
@@ -137,8 +150,12 @@ def co_occurrence(rows: DataFrame, basket: list[str], item: str, least: int = 4,
     sizes = sets.groupBy(*names).agg(F.count(F.lit(1)).alias("size"))
     n_baskets, largest = sizes.agg(F.count(F.lit(1)), F.coalesce(F.max("size"), F.lit(0))).first()
     most = n_baskets / lift
-    counts = sets.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") >= least) & (F.col("n") <= most))
-    kept = sets.join(counts, "item").withColumn("it", F.struct("item", "n"))
+    counts = cut(sets.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") >= least) & (F.col("n") <= most)), "counts")
+    if counts.count() <= SMALL_COUNTS:
+        kept = sets.join(F.broadcast(counts), "item")
+    else:
+        kept = skew.balanced_join(sets.withColumn("_row", F.xxhash64(*names)), counts, skew.plan_load(sets, "item"), "_row", "inner").drop("_row")
+    kept = kept.withColumn("it", F.struct("item", "n"))
     has_large = largest > BLOCK
     large = sizes.where(F.col("size") > BLOCK)
     few = kept
@@ -154,4 +171,6 @@ def co_occurrence(rows: DataFrame, basket: list[str], item: str, least: int = 4,
     stripes = whole.mapInArrow(_stripes, _STRIPE)
     merged = stripes.repartition("a", "part").sortWithinPartitions("a", "part").mapInArrow(_merged(least), "a string, b string, n long, n_a long, n_b long")
     both, a, b, n = (c.cast("double") for c in (F.col("n"), F.col("n_a"), F.col("n_b"), F.lit(n_baskets)))
-    return merged.where(F.col("n") * F.lit(n_baskets) >= lift * F.col("n_a") * F.col("n_b")).select(F.col("a").alias("item_a"), F.col("b").alias("item_b"), F.col("n").alias("n_both"), "n_a", "n_b", F.lit(n_baskets).cast("long").alias("n_baskets"), (both * n / (a * b)).alias("lift"), log_likelihood_ratio(both, a, b, n).alias("llr"))
+    llr = log_likelihood_ratio(both, a, b, n)
+    significant = llr >= (implied_llr(least, lift) if least_llr is None else least_llr) - 1e-6
+    return merged.where((F.col("n") * F.lit(n_baskets) >= lift * F.col("n_a") * F.col("n_b")) & significant).select(F.col("a").alias("item_a"), F.col("b").alias("item_b"), F.col("n").alias("n_both"), "n_a", "n_b", F.lit(n_baskets).cast("long").alias("n_baskets"), (both * n / (a * b)).alias("lift"), llr.alias("llr"))
