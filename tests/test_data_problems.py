@@ -115,6 +115,33 @@ def test_points_within_brute(spark, monkeypatch):
     assert got == want and len(want) > 100
 
 
+@pytest.mark.parametrize("cell, dense, block, hot", [(15, 3, 4, 1), (10, 1, 3, 100)])
+def test_points_within_dense_cells_and_hot_positions(spark, monkeypatch, cell, dense, block, hot):
+    for name, v in (("CELL", cell), ("DENSE", dense), ("BLOCK", block), ("HOT", hot), ("BATCH", 20)):
+        monkeypatch.setattr(spatial, name, v)
+    random.seed(8)
+    pts = [(105 + random.gauss(0, 1e-4), 30 + random.gauss(0, 1e-4)) for _ in range(150)] + [(100.0, 20.0)] * 40 + [(random.uniform(100, 120), random.uniform(20, 40)) for _ in range(60)]
+    df = spark.createDataFrame([(f"s{k}", *p) for k, p in enumerate(pts)], "shop string, lng double, lat double")
+    near, members = spatial.near_places(df, "shop", "lng", "lat", 12)
+    want = {tuple(sorted((f"s{i}", f"s{j}"))) for i in range(len(pts)) for j in range(i) if metres(pts[i], pts[j]) <= 12}
+    got = [tuple(r) for r in spatial.key_pairs(near, members).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 1_000
+    assert members.where("copies = 40").count() == 40 and near.count() == near.distinct().count() == len(want) - 40 * 39 // 2
+
+
+def test_cells_of_clustered_points():
+    """The largest cell stays within three times the median where points cluster, whatever their number."""
+    rng = np.random.default_rng(1)
+    centres = rng.uniform(0, 40, (400, 2))
+    at = rng.choice(400, 2_000_000, p=(w := 1 / np.arange(1, 401)) / w.sum())
+    p = spatial.unit_vectors(*(centres[at] + rng.normal(0, 0.05, (len(at), 2))).T)
+    cells = len(p) // 5_000
+    nodes = spatial._splits(p[rng.random(len(p)) < spatial.PER_CELL * cells / len(p)], cells, spatial.chord(50))
+    _, cell, _ = spatial._place(nodes, p, 0.0)
+    sizes = np.bincount(cell)
+    assert len(sizes) == cells and sizes.max() <= 3 * np.median(sizes)
+
+
 def test_points_within_edges(spark):
     empty = spark.createDataFrame([], "k string, lng double, lat double")
     assert spatial.points_within(empty, "k", "lng", "lat", 50).count() == 0
@@ -150,8 +177,9 @@ def test_regions_brute(spark, monkeypatch):
     pts = [(f"p{i}", random.uniform(-2, 12), random.uniform(-2, 12)) for i in range(800)]
     df = spark.createDataFrame(pts + pts[:10] + [("n", None, 1.0)], "pid string, lng double, lat double")
     want = {(p, str(k)) for p, x, y in pts for k, r in enumerate(rings) if inside(x, y, r)}
-    for corners in (200_000, 10):
+    for corners, cell in ((200_000, 20_000), (10, 20_000), (10, 50), (10, 5)):
         monkeypatch.setattr(spatial, "CORNERS", corners)
+        monkeypatch.setattr(spatial, "CELL", cell)
         got = [tuple(r) for r in spatial.points_in_regions(df, "pid", "lng", "lat", regions, "aid", "xs", "ys").collect()]
         assert len(got) == len(set(got)) and set(got) == want
     assert spatial.points_in_regions(df, "pid", "lng", "lat", regions.limit(0), "aid", "xs", "ys").count() == 0

@@ -98,12 +98,43 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.unionByName(inside.select(F.lit("user").alias("kind"), F.col("key").alias("key_a"), F.col("region").alias("key_b")))
 
 
+_WIDE_SQL = "upper(regexp_replace(translate({c}, '０１２３４５６７８９．，＝′″’”－', '0123456789.,=''\"''\"-'), '[\\s\\p{Z}]+', '', 'g'))"
+_DMS_SQL = r"""try_cast(regexp_extract({w}, '^[ENWS]?(\d{1,3})°(\d{1,2})''(\d{1,2}(?:\.\d+)?)(?:"|'''')?[ENWS]?$', {i}) AS DOUBLE)"""
+
+
+def _degrees_sql(c: str) -> str:
+    """functions.events.position's reading of one coordinate."""
+    w = _WIDE_SQL.replace("{c}", c)
+    part = lambda i: _DMS_SQL.replace("{w}", w).replace("{i}", str(i))
+    fast = f"try_cast(trim({c}, ' ' || chr(9) || chr(10) || chr(13)) AS DOUBLE)"
+    plain = f"try_cast(replace(regexp_extract({w}, '^[ENWS]?([-+]?\\d{{1,3}}(?:[.,]\\d+)?)°?[ENWS]?$', 1), ',', '.') AS DOUBLE)"
+    whole = f"try_cast(regexp_extract({w}, '^[ENWS]?(\\d{{7,9}})[ENWS]?$', 1) AS DOUBLE) / 1e6"
+    return f"CASE WHEN {fast} BETWEEN -180 AND 180 THEN {fast} ELSE CASE WHEN regexp_matches({w}, '[WS]') THEN -1 ELSE 1 END * coalesce({plain}, {part(1)} + {part(2)} / 60 + {part(3)} / 3600, {whole}) END"
+
+
+_RIGHT = "x BETWEEN 90 AND 130 AND y BETWEEN 15 AND 50"
+_SWAPPED = "y BETWEEN 90 AND 130 AND x BETWEEN 15 AND 50"
+_PICK_SQL = f"SELECT k, CASE WHEN {_RIGHT} THEN x ELSE y END AS lng, CASE WHEN {_RIGHT} THEN y ELSE x END AS lat FROM {{}} WHERE ({_RIGHT}) OR ({_SWAPPED})"
+_NEAR_SQL = f"""
+WITH c AS (SELECT Str_Id AS k, Lng AS a, Lat AS b FROM o2o_new_gut_shop_base_third WHERE Str_Id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY Str_Id ORDER BY etl_dt DESC NULLS LAST, Id DESC) = 1),
+cr AS (SELECT k, {_degrees_sql("a")} AS x, {_degrees_sql("b")} AS y FROM c), s AS ({_PICK_SQL.format("cr")}),
+er AS (SELECT event_id AS k, {_degrees_sql("user_longitude")} AS x, {_degrees_sql("user_latitude")} AS y FROM user_seq WHERE event_id IS NOT NULL), e AS (SELECT DISTINCT * FROM ({_PICK_SQL.format("er")})),
+i AS (SELECT area_id, ring_lng AS gx, ring_lat AS gy, unnest(range(1, len(ring_lng) + 1)) AS i FROM geo_area),
+g AS (SELECT area_id, gx[i] AS ax, gy[i] AS ay, gx[i % len(gx) + 1] AS bx, gy[i % len(gy) + 1] AS bq FROM i),
+h AS (SELECT area_id, least(ax, bx) AS x1, CASE WHEN ax < bx THEN ay ELSE bq END AS y1, greatest(ax, bx) AS x2, CASE WHEN ax < bx THEN bq ELSE ay END AS y2 FROM g WHERE ax <> bx)
+SELECT 'shop' AS kind, p.k AS key_a, q.k AS key_b FROM s p JOIN s q ON p.k < q.k AND abs(p.lat - q.lat) < 0.001
+WHERE 2 * 6371000 * asin(sqrt(power(sin(radians(q.lat - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(q.lat)) * power(sin(radians(q.lng - p.lng) / 2), 2))) <= 50
+UNION ALL SELECT DISTINCT 'user', k, area_id FROM (
+  SELECT e.k, e.lng, e.lat, CAST(h.area_id AS VARCHAR) AS area_id FROM e JOIN h ON x1 <= e.lng AND e.lng < x2 AND y1 + (e.lng - x1) * ((y2 - y1) / (x2 - x1)) > e.lat
+  GROUP BY e.k, e.lng, e.lat, h.area_id HAVING count(*) % 2 = 1)"""
+
 QUERIES = {f.__name__: f for f in (p4_found, p4_item_profile, p4_user_profile, p5_found, p5_sessions, p6_found)}
 
 ORACLES = {
     "p4_found": " UNION ALL ".join(f"SELECT '{k}' AS field, trim({k}) AS key_value FROM amazon_new_review WHERE trim({k}) <> '' GROUP BY 2 HAVING count(*) >= {HEAVY_SHARE} * (SELECT count(*) FROM amazon_new_review)" for k in ("parent_asin", "user_id")),
     "p4_item_profile": _profile_sql("parent_asin"),
     "p4_user_profile": _profile_sql("user_id"),
+    "p6_found": _NEAR_SQL,
     "p5_found": _SESSION_SQL.format(""),
     "p5_sessions": _SESSION_SQL.format(", max(ms) - min(ms) AS duration_ms, count(*) AS n_events"),
 }
