@@ -63,6 +63,7 @@ def complete(df: DataFrame, prompt: str, make: Callable[[], Callable[[str], str]
         ask = make()
         for b in batches:
             known: dict[str, tuple[str | None, str | None]] = {}
+            failed, last = 0, None
             for p in b[prompt].dropna().unique():
                 error = None
                 for k in range(retries):
@@ -74,8 +75,10 @@ def complete(df: DataFrame, prompt: str, make: Callable[[], Callable[[str], str]
                         if k + 1 < retries:
                             time.sleep(wait * 2**k)
                 else:
-                    log.warning("a prompt failed: %s", error)
+                    failed, last = failed + 1, error
                     known[p] = (None, error)
+            if failed:
+                log.warning("%d prompts of a batch failed, the last one: %s", failed, last)
             pairs = [known.get(p, (None, None)) for p in b[prompt]]
             yield b.assign(**{answer: [a for a, _ in pairs], f"{answer}_error": [e for _, e in pairs]})
 

@@ -59,9 +59,8 @@ def cut(df: DataFrame, label: str, instead_of: DataFrame | None = None) -> DataF
     that nothing reads any more once df is written (the round before); its files go at once.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidewell-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+    path = scratch(spark, label)
     df.write.parquet(path)
-    _made.append((spark, path))
     if instead_of is not None:
         drop_cut(instead_of)
     out = spark.read.schema(df.schema).parquet(path)
@@ -69,6 +68,13 @@ def cut(df: DataFrame, label: str, instead_of: DataFrame | None = None) -> DataF
     return out
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder below the shared one; it goes at the session's end."""
+    path = f"{shared_dir(spark)}/tidewell-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
+    _made.append((spark, path))
+    return path
+
+
 def spread(df: DataFrame, *columns: str) -> DataFrame:
     """A scan's rows over enough tasks for work that is heavy a row.
 
