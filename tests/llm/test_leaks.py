@@ -33,7 +33,7 @@ def test_long_text_and_blocks(spark, monkeypatch):
     noise = " ".join(random.choice(ITEM.split()) for _ in range(60_000))
     docs = [noise + " " + ITEM + " " + noise, noise, ITEM * 50]
     assert found(spark, docs) == {(0, 1), (2, 1)}
-    monkeypatch.setattr(leaks, "BLOCK_TOKENS", 10)
+    monkeypatch.setattr(leaks, "SMALL_ITEMS", 10)
     assert found(spark, docs) == {(0, 1), (2, 1)}
     assert found(spark, docs, ()) == set() and found(spark, []) == set()
 

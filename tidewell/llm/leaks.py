@@ -12,11 +12,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
-from tidewell.session import spread
+from tidewell.operators import skew
+from tidewell.session import cut, spread
 
-#: Items are sent to the tasks in blocks of at most so many tokens, each block one pass over the corpus.
-BLOCK_TOKENS = 2_000_000
+#: Items of up to so many characters in all go to every task as an index; more of them are joined to the corpus by their windows' fingerprints.
+SMALL_ITEMS = 2_000_000
 _INVISIBLE = regex.compile(r"[\p{Cf}\p{Mn}&&[͏︀-️]]|\p{Cf}", regex.V1)
 _TAG = regex.compile(r"</?[A-Za-z][A-Za-z0-9]{0,9}(?:\s[^<>]{0,200})?/?>")
 _CJK = r"\p{Han}\p{Hiragana}\p{Katakana}"
@@ -159,6 +161,66 @@ class Index:
             yield d, item, sum(n for _, _, n in tile(pairs, self.m))
 
 
+def _hashed(tokens: list[str], m: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two fingerprints of each window of m tokens: Karp-Rabin over the tokens' hashes, and over those in another order of bits; together 128 bits."""
+    ids = np.array([xxh64_intdigest(t) for t in tokens], np.uint64)
+    return _rolling(ids, m).view(np.int64), _rolling(ids * np.uint64(0xC2B2AE3D27D4EB4F) ^ (ids >> np.uint64(29)), m).view(np.int64)
+
+
+def _by_windows(rows: DataFrame, items: DataFrame, kinds: tuple[str, str], measures: tuple, share: float) -> DataFrame:
+    """(key, item, covered, size) by a join of window fingerprints, for items of any number.
+
+    items: (item, text, lang). Only windows whose fingerprint an item has too leave the join with places; those of one document and item
+    are tiled together. Fingerprints that many documents or items share (boilerplate) are split over tasks by skew.balanced_join.
+    """
+
+    def item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            who, at, sizes, kind, h, g = [], [], [], [], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for d, (t, lang) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
+                t = level(t)
+                for n, (m, cut_up, mine) in enumerate(measures):
+                    if by_chars(t, lang) == mine:
+                        tokens = cut_up(t)
+                        x, y = _hashed(tokens, m)
+                        h.append(x)
+                        g.append(y)
+                        who += [d] * len(x)
+                        at += range(len(x))
+                        sizes += [len(tokens)] * len(x)
+                        kind += [n] * len(x)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(who, pa.int64())), pa.array(kind, pa.int32()), pa.array(np.concatenate(h)), pa.array(np.concatenate(g)), pa.array(at, pa.int32()), pa.array(sizes, pa.int32())], ["item", "kind", "h", "g", "j", "size"])
+
+    def doc_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for d, t in enumerate(b.column(1)):
+                t = level(t.as_py())
+                for n, (m, cut_up, mine) in enumerate(measures):
+                    if mine and not _HAS_CJK.search(t):
+                        continue
+                    x, y = _hashed(cut_up(t), m)
+                    for low in range(0, len(x), 100_000):
+                        h = x[low : low + 100_000]
+                        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(np.full(len(h), d))), b.column(2).take(pa.array(np.full(len(h), d))), pa.array(np.full(len(h), n, np.int32)), pa.array(h), pa.array(y[low : low + 100_000]), pa.array(np.arange(low, low + len(h), dtype=np.int32))], ["key", "doc", "kind", "h", "g", "i"])
+
+    theirs = cut(items.mapInArrow(item_windows, f"item {kinds[1]}, kind int, h long, g long, j int, size int"), "item-windows")
+    mine = rows.withColumn("doc", F.monotonically_increasing_id()).mapInArrow(doc_windows, f"key {kinds[0]}, doc long, kind int, h long, g long, i int")
+    # most windows of a corpus are in no item: they go at the first join, which carries no places
+    known = theirs.select("kind", "h", "g").distinct()
+    hits = cut(mine.join(known, ["kind", "h", "g"], "left_semi"), "doc-windows")
+    seeds = skew.balanced_join(hits, theirs, skew.plan_load(hits, "h"), "doc", "inner").where("kind = kind_match and g = g_match")
+
+    def tiled(pdf):
+        import pandas as pd
+
+        m = measures[int(pdf["kind"].iloc[0])][0]
+        n = sum(k for _, _, k in tile(list(zip(pdf["i"].tolist(), pdf["j"].tolist())), m))
+        size = int(pdf["size"].iloc[0])
+        return pd.DataFrame([(pdf["key"].iloc[0], pdf["item"].iloc[0], n, size)] if n >= share * size else [], columns=["key", "item", "covered", "size"])
+
+    return seeds.groupBy("doc", "item").applyInPandas(tiled, f"key {kinds[0]}, item {kinds[1]}, covered int, size int")
+
+
 def find_leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item: str, item_text: str, item_lang: str, least_words: int = 5, least_chars: int = 10, share: float = 0.5) -> DataFrame:
     """(key, item, covered, size): documents that hold at least `share` of an item's wording in unbroken stretches of
     least_words or more words (zh, ja: least_chars letters and digits).
@@ -168,8 +230,8 @@ def find_leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item: str
 
     Token seeds shared with an item are found by rolling fingerprints against the
     index of all items' windows; tiles are then marked greedily, longest first,
-    which also catches passages in another order. The index goes to the tasks in
-    blocks of at most BLOCK_TOKENS tokens, each one pass over the corpus, without a shuffle of it.
+    which also catches passages in another order. Items of up to SMALL_ITEMS characters go to the tasks as an index, for one pass
+    over the corpus without a shuffle of its texts. More of them are a table of windows that the corpus's windows are joined to, so neither the driver nor a task holds them.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).where("key is not null and text is not null and text <> ''")
@@ -177,15 +239,17 @@ def find_leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item: str
     kinds = rows.schema["key"].dataType.simpleString(), items.schema[item].dataType.simpleString()
     schema = f"key {kinds[0]}, item {kinds[1]}, covered int, size int"
 
-    def search(block: list[tuple]) -> DataFrame:
-        sent = spark.sparkContext.broadcast(block)
+    known = items.select(F.col(item).alias("item"), F.col(item_text).alias("text"), F.col(item_lang).alias("lang")).where("item is not null and text is not null")
+    measures = ((least_words, words, False), (least_chars, chars, True))
+    if known.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0] <= SMALL_ITEMS:
+        sent = spark.sparkContext.broadcast([tuple(r) for r in known.collect()])
         ready: list = []
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not ready:
                 texts = [(i, level(t), lang) for i, t, lang in sent.value]
-                for m, cut, mine in ((least_words, words, False), (least_chars, chars, True)):
-                    ready.append((Index([(i, cut(t)) for i, t, lang in texts if by_chars(t, lang) == mine], m), cut, mine))
+                for m, cut_up, mine in measures:
+                    ready.append((Index([(i, cut_up(t)) for i, t, lang in texts if by_chars(t, lang) == mine], m), cut_up, mine))
             for b in batches:
                 names, found = b.column(0), []
                 todo, size = [], 0
@@ -194,9 +258,9 @@ def find_leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item: str
                     size += len(todo[-1][1])
                     if size < 2_000_000 and d < b.num_rows - 1:
                         continue
-                    for index, cut, mine in ready:
+                    for index, cut_up, mine in ready:
                         some = [(n, t) for n, t in todo if not mine or _HAS_CJK.search(t)]
-                        for n, it, covered in index.search([cut(t) for _, t in some]):
+                        for n, it, covered in index.search([cut_up(t) for _, t in some]):
                             total = len(index.items[it])
                             if covered >= share * total:
                                 found.append((some[n][0], it, covered, total))
@@ -205,18 +269,8 @@ def find_leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item: str
                     d, it, covered, total = zip(*found)
                     yield pa.RecordBatch.from_arrays([names.take(pa.array(d)), pa.array(it), pa.array(covered, pa.int32()), pa.array(total, pa.int32())], ["key", "item", "covered", "size"])
 
-        return rows.mapInArrow(run, schema)
-
-    out, block, size = None, [], 0
-    for r in items.select(item, item_text, item_lang).where(F.col(item).isNotNull() & F.col(item_text).isNotNull()).toLocalIterator():
-        if block and size + len(r[1]) > BLOCK_TOKENS:
-            out = search(block) if out is None else out.unionByName(search(block))
-            block, size = [], 0
-        block.append(tuple(r))
-        size += len(r[1])
-    if block:
-        out = search(block) if out is None else out.unionByName(search(block))
-    if out is None:
-        out = spark.createDataFrame([], schema)
+        out = rows.mapInArrow(run, schema)
+    else:
+        out = _by_windows(rows, known, kinds, measures, share)
     best = out.groupBy("key", "item").agg(F.max("covered").alias("covered"), F.max("size").alias("size"))
     return best.select(F.col("key").alias(key), F.col("item").alias(item), "covered", "size")
