@@ -393,3 +393,38 @@ def test_review_forms(spark):
     r = files.old_as_new(old).first()
     assert r.timestamp == 10_000 and r.verified_purchase == "true" and r.parent_asin == "a" and r.helpful_vote == 0
     assert files.legacy_names(old).first().product_id == "a" and "review_text" in files.legacy_names(old).columns
+
+
+def test_feature_sink_writes_touched_parts_only(spark, tmp_path):
+    sink = stream.FeatureSink(f"{tmp_path}/f", keep=1, parts=8)
+    rows = lambda *us: spark.createDataFrame([(u, 10) for u in us], "user_id string, timestamp long")
+    users = [f"u{k}" for k in range(40)]
+    sink(rows(*users), 0)
+    sink(rows("u1", "u1"), 1)
+    assert len(sink.contents(spark)[0]) == 8 and len(sink.contents(spark)[1]) == 1
+    sink(rows("u1"), 2)
+    sink(rows("u1"), 2)  # again after a failure
+    got = {r.user_id: r.interaction_count for r in sink.features(spark).collect()}
+    assert got == {u: 4 if u == "u1" else 1 for u in users}
+    assert len(sink.contents(spark)[0]) == 7  # the part that a later version supersedes is gone
+
+
+def test_pairs_meet_once(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(f"u{rng.randrange(3)}", f"i{rng.randrange(4)}", rng.randrange(0, 6 * 86_400)) for _ in range(90)]
+    from tidewell.operators import sequences
+
+    got = {(r.item_id, r.related): r.n for r in sequences.pair_counts(spark.createDataFrame(rows, "user_id string, item_id string, timestamp long"), 1, dedup=False).collect()}
+    want = {}
+    for u, a, t in rows:
+        for v, b, s in rows:
+            if u == v and a != b and abs(t - s) <= 86_400:
+                want[a, b] = want.get((a, b), 0) + 1
+    assert got == want
+
+
+def test_signs_grow_with_vectors():
+    small, large = synonyms.hash_shape(0.85, 0.999, 1_000), synonyms.hash_shape(0.85, 0.999, 10**8)
+    assert large[0] > small[0] and large[1] <= synonyms.TABLES and synonyms.hash_shape(0.4) == synonyms.hash_shape(0.4, 0.999, 2_000)

@@ -95,14 +95,15 @@ def distribution_stats(df: DataFrame, values: DataFrame | None = None, negative_
 
 
 def distribution_warnings(stats: DataFrame, negative_target: float = 0.1) -> DataFrame:
-    """(warning) for shares that are too small and figures out of their range."""
+    """(warning) for shares that are too small, figures out of their range, and intents of which one has over five times the share of another."""
     m, v, k = F.col("metric"), F.col("value"), F.col("key")
     text = (
         F.when((m == "intent") & (v < 0.03), F.concat(F.lit("intent."), k)).when((m == "param") & (v < 0.05), F.concat(F.lit("param."), k))
         .when((m == "op") & (k.isin("not_in", "not_contains")) & (v < 0.03), F.concat(F.lit("op."), k)).when((m == "negative_ratio") & (F.abs(v - negative_target) > 0.02), "negative_ratio")
         .when((m == "message_avg_length") & ~v.between(20, 80), "message_avg_length")
     )
-    return stats.select(text.alias("warning")).where("warning is not null")
+    spread = stats.where("metric = 'intent'").agg(F.max("value").alias("most"), F.min("value").alias("least")).where(F.col("most") > 5 * F.col("least")).select(F.lit("intent_imbalance").alias("warning"))
+    return stats.select(text.alias("warning")).where("warning is not null").unionByName(spread)
 
 
 def md5_mod(c: Column, n: int = 100) -> Column:
@@ -215,6 +216,37 @@ def plan_samples(items: DataFrame, key: str, per_item: int, scenarios: dict[str,
     return rows.select(key, "n", weighted_choice(scenarios, draw(key, "n", F.lit("scenario"), seed=seed)).alias("scenario"), weighted_choice(intents, draw(key, "n", F.lit("intent"), seed=seed)).alias("intent"), (draw(key, "n", F.lit("negative"), seed=seed) < negative).alias("negative"))
 
 
+#: Bands of distance in metres with their shares, types of negative samples, shares of the number of turns.
+BANDS = {"near": (0, 1_000, 0.5), "town": (1_000, 5_000, 0.3), "far": (5_000, 20_000, 0.2)}
+NEGATIVES = {"excluded_value": 0.5, "other_item": 0.3, "no_match": 0.2}
+TURNS = {1: 0.4, 3: 0.3, 5: 0.2, 9: 0.1}
+
+
+def plan_details(plan: DataFrame, key: str, most_turns: int = 9, bands: dict | None = None, negatives: dict | None = None, turns: dict | None = None, seed: int = 42) -> DataFrame:
+    """plan with n_turns (at most most_turns), distance_band and distance_m, and negative_type of the negative samples: hash draws, the same for every run."""
+    bands, u = bands or BANDS, lambda what: draw(key, "n", F.lit(what), seed=seed)
+    band = weighted_choice({b: w for b, (_, _, w) in bands.items()}, u("band"))
+    chosen = {str(t): w for t, w in (turns or TURNS).items() if t <= most_turns} or {"1": 1.0}
+    out = plan.withColumns({"n_turns": weighted_choice(chosen, u("turns")).cast("int"), "distance_band": band})
+    metres = None
+    for b, (low, high, _) in bands.items():
+        at = (F.lit(low) + u("metres") * (high - low)).cast("int")
+        metres = F.when(F.col("distance_band") == b, at) if metres is None else metres.when(F.col("distance_band") == b, at)
+    return out.withColumns({"distance_m": metres, "negative_type": F.when(F.col("negative"), weighted_choice(negatives or NEGATIVES, u("type")))})
+
+
+def without_repeats(df: DataFrame, key: str, columns: list[str], order: str = "n") -> DataFrame:
+    """One row for each combination of the columns within a key, the first in order; partial aggregation, so a key with many samples is reduced early."""
+    return df.groupBy(F.col(key).alias("_k"), *(F.col(c).alias(f"_c{i}") for i, c in enumerate(columns))).agg(F.min_by(F.struct(*df.columns), F.col(order)).alias("_row")).select("_row.*")
+
+
+def cover(df: DataFrame, tags: DataFrame, key: str = "item_id") -> DataFrame:
+    """(key, n): a further sample for each item with a tag (key, dim, value) that none of its samples asks for, numbered after those it has."""
+    gaps = uncovered_dims(df, tags, key).select(key).distinct()
+    last = df.groupBy(key).agg(F.max("n").alias("_last"))
+    return gaps.join(last, key, "left").select(key, (F.coalesce("_last", F.lit(0)) + 1).cast("int").alias("n"))
+
+
 def oversample(df: DataFrame, column: str, least: float = 0.03, times: int = 2) -> DataFrame:
     """Rows of classes under `least` of all repeated `times` times."""
     small = shares(df, column, "_c").where(F.col("n").isNotNull()).select("_c", "share")

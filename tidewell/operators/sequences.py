@@ -52,17 +52,21 @@ def pair_counts(df: DataFrame, window_days: float = 30, lookback_days: float | N
 
     dedup: an item counts once a user (its first time), so n is the number of users;
     otherwise pairs of rows are counted. The band join has the time bucket in its
-    equi-key, so a user with many rows is spread over buckets instead of pairing with itself whole.
+    equi-key, so a user with many rows is spread over buckets instead of pairing with itself whole. Each two rows meet once, the earlier
+    one in its bucket, the later one in its own and the bucket before; both directions come out of the counts.
     """
     span = int(window_days * DAY)
     rows = _recent(df, lookback_days).where("user_id is not null and item_id is not null and timestamp is not null").select("user_id", "item_id", "timestamp")
     if dedup:
         rows = rows.groupBy("user_id", "item_id").agg(F.min("timestamp").alias("timestamp"))
     bucket = F.floor(F.col("timestamp") / max(span, 1)).cast("long")
-    left = rows.select("user_id", "item_id", F.col("timestamp").alias("t"), bucket.alias("b"))
-    right = rows.select("user_id", F.col("item_id").alias("related"), F.col("timestamp").alias("rt"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("b"))
-    near = left.join(right, ["user_id", "b"]).where((F.col("item_id") != F.col("related")) & (F.abs(F.col("t") - F.col("rt")) <= span))
-    return near.groupBy("item_id", "related").agg(F.count(F.lit(1)).alias("n"))
+    first = rows.select("user_id", F.col("item_id").alias("x"), F.col("timestamp").alias("t"), bucket.alias("b"))
+    later = rows.select("user_id", F.col("item_id").alias("y"), F.col("timestamp").alias("u"), F.explode(F.array(bucket - 1, bucket)).alias("b"))
+    after = (F.col("u") > F.col("t")) | ((F.col("u") == F.col("t")) & (F.col("y") > F.col("x")))
+    near = first.join(later, ["user_id", "b"]).where((F.col("x") != F.col("y")) & after & (F.col("u") - F.col("t") <= span))
+    counts = near.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.count(F.lit(1)).alias("n"))
+    ways = F.explode(F.array(F.struct(F.col("x").alias("item_id"), F.col("y").alias("related")), F.struct(F.col("y").alias("item_id"), F.col("x").alias("related"))))
+    return counts.select(ways.alias("w"), "n").select("w.item_id", "w.related", "n")
 
 
 def co_occurrence(df: DataFrame, window_days: float = 30, lookback_days: float | None = None, least: int = 2, most: int = 50) -> DataFrame:

@@ -39,16 +39,17 @@ def script(c: Column) -> Column:
     return F.when(c.rlike(r"\p{IsHan}|\p{IsHiragana}|\p{IsKatakana}"), "cjk").when(c.rlike("[A-Za-z]"), "latin").otherwise("other")
 
 
-def groups_from_ngram(names: DataFrame, name: str, least: float = 0.7, most: int = MOST, guard_script: bool = True) -> DataFrame:
-    """Groups of names connected by bigram similarity, the first `most` by value; groups of one are left out."""
+def groups_from_ngram(names: DataFrame, name: str, least: float = 0.7, most: int | None = None, guard_script: bool = True) -> DataFrame:
+    """Groups of names connected by bigram similarity, all of them or the first `most` by value (length_filter cuts groups to the search engine's size); groups of one are left out."""
     distinct = names.select(F.col(name).alias("name")).where("name is not null and name <> ''").distinct()
     pairs = similarity.similar_pairs(distinct.withColumn("g", similarity.ngrams(F.col("name"))), "name", "g", least)
     if guard_script:
         pairs = pairs.where(script(F.col("a")) == script(F.col("b")))
     parts = similarity.connected_components(pairs)
-    w = Window.partitionBy("component").orderBy("node")
-    kept = parts.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most)
-    out = kept.groupBy("component").agg(F.sort_array(F.collect_list("node")).alias("variants")).where(F.size("variants") >= 2)
+    if most is not None:
+        w = Window.partitionBy("component").orderBy("node")
+        parts = parts.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most)
+    out = parts.groupBy("component").agg(F.sort_array(F.collect_list("node")).alias("variants")).where(F.size("variants") >= 2)
     return out.select(group_id(F.col("variants")).alias("group_id"), F.col("component").alias("canonical"), "variants", F.array(F.lit("ngram")).alias("source"), F.lit(least).alias("confidence"), F.lit(None).cast("string").alias("category"))
 
 
@@ -114,11 +115,22 @@ def solr_lines(groups: DataFrame) -> DataFrame:
     return groups.select(F.concat_ws(", ", F.sort_array("variants")).alias("value"))
 
 
-def hash_shape(least: float, recall: float = 0.999) -> tuple[int, int]:
-    """(signs a table, tables) of random hyperplanes such that a pair of cosine `least` shares a bucket with that probability."""
+#: Vectors a bucket of embedding_pairs, about, as long as that takes no more than TABLES tables.
+BUCKET, TABLES = 1_000, 512
+
+
+def hash_shape(least: float, recall: float = 0.999, n: int = 0) -> tuple[int, int]:
+    """(signs a table, tables) of random hyperplanes such that a pair of cosine `least` shares a bucket with that probability.
+
+    Signs grow with the logarithm of the number n of vectors, so that a bucket stays at about BUCKET vectors; the tables that this takes grow too, the
+    faster the smaller `least` is, and end the growth at TABLES.
+    """
     p = 1 - math.acos(least) / math.pi
+    tables = lambda k: math.ceil(math.log(1 - recall) / math.log(1 - p**k))
     planes = max(1, min(16, int(math.log(0.15) / math.log(p))))
-    return planes, math.ceil(math.log(1 - recall) / math.log(1 - p**planes))
+    while n > BUCKET << planes and planes < 30 and tables(planes + 1) <= TABLES:
+        planes += 1
+    return planes, tables(planes)
 
 
 def embedding_pairs(df: DataFrame, key: str, vector: str, least: float = 0.85, recall: float = 0.999, seed: int = 7) -> DataFrame:
@@ -127,11 +139,11 @@ def embedding_pairs(df: DataFrame, key: str, vector: str, least: float = 0.85, r
     Equal vectors form a class: its smallest key stands for it in pairs with others, and each other member is paired with it alone, so copies don't multiply.
     Candidates share a bucket of random hyperplanes, found with probability `recall` each; similarity is computed exactly. Rows without vector or of length 0 are left out.
     """
-    planes, tables = hash_shape(least, recall)
     rows = df.select(F.col(key).alias("k"), F.col(vector).cast("array<double>").alias("v")).where("k is not null and v is not null and size(v) > 0")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     unit = rows.withColumn("n", norm).where("n > 0").select("k", F.transform("v", lambda x: x / F.col("n")).alias("v"))
     classes = unit.groupBy("v").agg(F.min("k").alias("k"))
+    planes, tables = hash_shape(least, recall, rows.count())
     copies = unit.join(classes.withColumnRenamed("k", "a"), "v").where("k > a").select("a", F.col("k").alias("b"), F.lit(1.0).alias("cosine"))
 
     @F.pandas_udf("array<long>")

@@ -196,11 +196,14 @@ def upsert(state: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
 
 def tag_rows(df: DataFrame, key: str) -> DataFrame:
     """(key, dim, value) of scalar and array tags."""
-    parts = []
-    for d in DIMENSIONS:
-        if d in df.columns:
-            is_list = df.schema[d].dataType.typeName() == "array"
-            parts.append(F.transform(F.coalesce(F.col(d) if is_list else F.array(F.col(d)), F.array().cast("array<string>")), lambda v, d=d: F.struct(F.lit(d).alias("dim"), v.alias("value"))))
+
+    def one(d: str) -> Column:
+        values = F.col(d) if df.schema[d].dataType.typeName() == "array" else F.array(F.col(d).cast("string"))
+        return F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v: F.struct(F.lit(d).alias("dim"), v.alias("value")))
+
+    parts = [one(d) for d in DIMENSIONS if d in df.columns]
+    if not parts:
+        return df.select(key, F.lit("").alias("dim"), F.lit("").alias("value")).limit(0)
     return df.select(key, F.explode(F.concat(*parts)).alias("x")).select(key, "x.dim", "x.value").where("value is not null")
 
 

@@ -100,9 +100,11 @@ def tag_rule_text(spark, d):
 
 @query("WITH a AS (SELECT list(DISTINCT brand_nm) AS l FROM brand_list) SELECT shopId, CASE WHEN list_contains(l, brnd_nm) THEN brnd_nm END AS value, brnd_nm IS NOT NULL AND NOT list_contains(l, brnd_nm) AS rejected FROM (SELECT DISTINCT shopId, brnd_nm FROM o2o_new_gut_shop_base), a")
 def tag_constrained(spark, d):
-    words = [r[0] for r in table(spark, d, "brand_list").select("brand_nm").distinct().collect()]  # a dictionary of fixed size
-    ok = tags.constrain_scalar(F.col("brnd_nm"), F.array(*map(F.lit, words)))
-    return table(spark, d, _OWN).select("shopId", "brnd_nm").distinct().select("shopId", ok["value"].alias("value"), ok["rejected"].alias("rejected"))
+    known = table(spark, d, "brand_list").select("brand_nm", F.lit(True).alias("ok")).distinct()
+    rows = table(spark, d, _OWN).select("shopId", "brnd_nm").distinct().join(known, F.col("brnd_nm") == F.col("brand_nm"), "left")
+    allowed = F.when(F.col("ok"), F.array("brnd_nm")).otherwise(F.array().cast("array<string>"))
+    got = tags.constrain_scalar(F.col("brnd_nm"), allowed)
+    return rows.select("shopId", got["value"].alias("value"), got["rejected"].alias("rejected"))
 
 
 @query("SELECT count(*) AS items, round(avg((Cat_Nm IS NOT NULL)::INT + (Str_Type IS NOT NULL)::INT + (Avg_Prc IS NOT NULL)::INT), 6) AS avg_dims, avg((Cat_Nm IS NOT NULL)::INT + (Str_Type IS NOT NULL)::INT + (Avg_Prc IS NOT NULL)::INT) >= 2.5 AS passed FROM o2o_new_gut_shop_base_third")

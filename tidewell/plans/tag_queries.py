@@ -194,8 +194,8 @@ _SCRIPT_SQL = r"CASE WHEN regexp_matches({x}, '[\p{{Han}}\p{{Hiragana}}\p{{Katak
 
 @query(f"""WITH RECURSIVE {_NAMES_SQL}, g AS (SELECT x, {_GRAM_SQL} AS g FROM n),
 e AS (SELECT a.x AS a, b.x AS b FROM g a JOIN g b ON a.x <> b.x AND len(list_intersect(a.g, b.g)) > 0 AND len(list_intersect(a.g, b.g)) / (len(a.g) + len(b.g) - len(list_intersect(a.g, b.g))) >= 0.6 WHERE {_SCRIPT_SQL.format(x="a.x")} = {_SCRIPT_SQL.format(x="b.x")}),
-r AS (SELECT a AS n, a AS m FROM e UNION SELECT e.b, r.m FROM r JOIN e ON e.a = r.n), c AS (SELECT n, min(m) AS m FROM r GROUP BY 1), k AS (SELECT *, row_number() OVER (PARTITION BY m ORDER BY n) AS i FROM c)
-SELECT m AS canonical, list_sort(list(n)) AS variants FROM k WHERE i <= 10 GROUP BY 1 HAVING count(*) >= 2""")
+r AS (SELECT a AS n, a AS m FROM e UNION SELECT e.b, r.m FROM r JOIN e ON e.a = r.n), c AS (SELECT n, min(m) AS m FROM r GROUP BY 1)
+SELECT m AS canonical, list_sort(list(n)) AS variants FROM c GROUP BY 1 HAVING count(*) >= 2""")
 def synonym_spelling(spark, d):
     """synonym_ngram's groups, with recursion in SQL."""
     names = table(spark, d, "brand_list").select(F.explode(F.array("brand_nm", "alias_nm")).alias("n"))
@@ -307,3 +307,21 @@ def reviews_sorted(spark, d):
     """An analyzer's result in the order it is written in; its first row."""
     plans, _ = reviews.run_all(reviews.derive(table(spark, d, "amazon_new_review")), ["rating_by_time"])
     return reviews.shown("rating_by_time", plans["rating_by_time"]).select(F.col("review_year_month").cast("string").alias("first")).where("first is not null").limit(1)
+
+
+@query("""SELECT "Id", 'category' AS dim, Cat_Nm AS value FROM o2o_new_gut_shop_base_third WHERE Cat_Nm IS NOT NULL UNION ALL SELECT "Id", 'avg_prc', Avg_Prc FROM o2o_new_gut_shop_base_third WHERE Avg_Prc IS NOT NULL UNION ALL SELECT "Id", 'taste', unnest(['a', 'b']) FROM o2o_new_gut_shop_base_third WHERE "Id" % 2 = 0""")
+def tag_flat(spark, d):
+    rows = table(spark, d, _THIRD).select("Id", F.col("Cat_Nm").alias("category"), F.col("Avg_Prc").alias("avg_prc"), F.when(F.col("Id") % 2 == 0, F.array(F.lit("a"), F.lit("b"))).alias("taste"))
+    return tags.tag_rows(rows, "Id")
+
+
+@query("SELECT min(review_id) AS review_id FROM amazon_new_review GROUP BY user_id, parent_asin")
+def corpus_unrepeated(spark, d):
+    return corpus.without_repeats(table(spark, d, "amazon_new_review"), "user_id", ["parent_asin"], "review_id").select("review_id")
+
+
+@query(f"WITH {_DIALOGUE_SQL} SELECT CAST(seq AS VARCHAR) AS item_id, CAST(2 AS INT) AS n FROM dl WHERE lg = ''")
+def corpus_cover(spark, d):
+    """A further sample for each item with a tag that none of its samples asks for."""
+    rows = dialogues(spark, d).withColumn("item_id", F.col("seq").cast("string")).withColumn("n", F.lit(1))
+    return corpus.cover(rows, rows.select("item_id", F.lit("brand").alias("dim"), F.lit("x").alias("value")))

@@ -49,30 +49,40 @@ def stream_sessions(events: DataFrame, gap: str = "30 minutes", late: str = "1 h
 class FeatureSink:
     """foreachBatch writer: appends the history and merges the counters, each batch once.
 
-    Both are written below a folder of the batch's number, so a batch that is run again after a failure
-    overwrites its own files. Counters are kept as versions: version n holds
-    version n - 1 merged with batch n; a reader takes the latest version with a _SUCCESS mark. Empty batches write nothing.
+    History is written below a folder of the batch's number, counters below one of the version and the part of the users (a hash) that the batch touches,
+    so a batch that is run again after a failure overwrites its own files and parts without news are not written at all. A
+    reader takes, for each part, the latest version with a _SUCCESS mark: version n of a part holds the part's version before merged with batch n. Empty batches write nothing.
+    The number of parts is fixed with the table.
     """
 
-    def __init__(self, folder: str, keep: int = 3):
-        self.folder, self.keep = folder.rstrip("/"), keep
+    def __init__(self, folder: str, keep: int = 3, parts: int = 64):
+        self.folder, self.keep, self.parts = folder.rstrip("/"), keep, parts
 
     def _fs(self, spark: SparkSession):
         p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
         return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def versions(self, spark: SparkSession) -> list[int]:
-        jvm, fs = spark.sparkContext._jvm, self._fs(spark)
-        base = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/features")
-        if not fs.exists(base):
-            return []
-        found = [s.getPath().getName() for s in fs.listStatus(base)]
-        return sorted(int(n.split("=")[1]) for n in found if n.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.folder}/features/{n}/_SUCCESS")))
+        return list(self.contents(spark))
 
-    def features(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
-        """The latest counters (before a version)."""
-        vs = [v for v in self.versions(spark) if before is None or v < before]
-        return spark.read.parquet(f"{self.folder}/features/v={vs[-1]}") if vs else None
+    def contents(self, spark: SparkSession) -> dict[int, list[int]]:
+        """The parts of each finished version; bounded by parts * (keep + 1)."""
+        path, fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, self._fs(spark)
+        base = path(f"{self.folder}/features")
+        if not fs.exists(base):
+            return {}
+        found = {}
+        for name in (s.getPath().getName() for s in fs.listStatus(base)):
+            if name.startswith("v=") and fs.exists(path(f"{self.folder}/features/{name}/_SUCCESS")):
+                inner = (s.getPath().getName() for s in fs.listStatus(path(f"{self.folder}/features/{name}")))
+                found[int(name[2:])] = sorted(int(n[5:]) for n in inner if n.startswith("part="))
+        return dict(sorted(found.items()))
+
+    def features(self, spark: SparkSession, before: int | None = None, parts: list[int] | None = None) -> DataFrame | None:
+        """The latest counters (before a version; of some parts)."""
+        latest = {p: v for v, ps in self.contents(spark).items() if before is None or v < before for p in ps if parts is None or p in parts}
+        paths = [f"{self.folder}/features/v={v}/part={p}" for p, v in latest.items()]
+        return spark.read.parquet(*paths) if paths else None
 
     def history(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.folder}/history/*")
@@ -81,18 +91,34 @@ class FeatureSink:
         spark = batch.sparkSession
         batch.persist()
         try:
-            if not batch.take(1):
+            part = F.pmod(F.xxhash64("user_id"), F.lit(self.parts)).cast("int")
+            touched = [r[0] for r in batch.select(part.alias("p")).distinct().collect()]  # at most `parts`
+            if not touched:
                 return
             batch.write.mode("overwrite").parquet(f"{self.folder}/history/batch={number}")
             fresh = batch.groupBy("user_id").agg(F.count(F.lit(1)).alias("interaction_count"), F.max("timestamp").alias("last_seen"), F.min("timestamp").alias("first_seen"))
-            old = self.features(spark, number)
+            old = self.features(spark, number, touched)
             merged = fresh if old is None else old.unionByName(fresh).groupBy("user_id").agg(F.sum("interaction_count").alias("interaction_count"), F.max("last_seen").alias("last_seen"), F.min("first_seen").alias("first_seen"))
-            merged.write.mode("overwrite").parquet(f"{self.folder}/features/v={number}")
-            for v in [v for v in self.versions(spark) if v <= number][: -self.keep]:
-                self._fs(spark).delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/features/v={v}"), True)
+            merged.withColumn("part", part).write.mode("overwrite").partitionBy("part").parquet(f"{self.folder}/features/v={number}")
+            self._forget(spark, number)
         finally:
             batch.unpersist()
 
+    def _forget(self, spark: SparkSession, number: int) -> None:
+        """Remove what `keep` later versions of a part supersede."""
+        path, fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, self._fs(spark)
+        newer: dict[int, int] = {}
+        for v, ps in sorted(self.contents(spark).items(), reverse=True):
+            if v > number:
+                continue
+            old = [p for p in ps if newer.get(p, 0) >= self.keep]
+            for p in old:
+                fs.delete(path(f"{self.folder}/features/v={v}/part={p}"), True)
+            if ps and len(old) == len(ps):
+                fs.delete(path(f"{self.folder}/features/v={v}"), True)
+            for p in ps:
+                newer[p] = newer.get(p, 0) + 1
+
 
 def start(events: DataFrame, folder: str, checkpoint: str, minutes: int | None = 3, keys: tuple[str, ...] = ("event_id",), late: str = "1 hour") -> StreamingQuery:
     """Run the stream into a FeatureSink every so many minutes (1 to 10); None takes what is there and ends."""
