@@ -396,17 +396,19 @@ def test_review_forms(spark):
 
 
 def test_feature_sink_writes_touched_parts_only(spark, tmp_path):
-    sink = stream.FeatureSink(f"{tmp_path}/f", keep=1, parts=8)
+    sink = stream.FeatureSink(f"{tmp_path}/f", keep=2, parts=8)
     rows = lambda *us: spark.createDataFrame([(u, 10) for u in us], "user_id string, timestamp long")
     users = [f"u{k}" for k in range(40)]
     sink(rows(*users), 0)
     sink(rows("u1", "u1"), 1)
-    assert len(sink.contents(spark)[0]) == 7 and len(sink.contents(spark)[1]) == 1  # with keep = 1 the part's older version is gone
+    assert len(sink.contents(spark)[0]) == 8 and len(sink.contents(spark)[1]) == 1
     sink(rows("u1"), 2)
     sink(rows("u1"), 2)  # again after a failure
     got = {r.user_id: r.interaction_count for r in sink.features(spark).collect()}
     assert got == {u: 4 if u == "u1" else 1 for u in users}
-    assert sink.versions(spark) == [0, 2]
+    assert [len(ps) for ps in sink.contents(spark).values()] == [7, 1, 1]  # two versions of the part are left
+    with pytest.raises(ValueError):
+        stream.FeatureSink("x", keep=1)
 
 
 def test_pairs_meet_once(spark):

@@ -56,6 +56,8 @@ class FeatureSink:
     """
 
     def __init__(self, folder: str, keep: int = 3, parts: int = 64):
+        if keep < 2:
+            raise ValueError("a batch that is run again needs the version before: keep is at least 2")
         self.folder, self.keep, self.parts = folder.rstrip("/"), keep, parts
 
     def _fs(self, spark: SparkSession):
