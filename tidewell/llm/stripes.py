@@ -21,7 +21,7 @@ PAIRS = 2_000_000
 #: An item's neighbours are merged in parts, one part for so many baskets that hold the item.
 PART = 5_000
 #: The items' counts are broadcast up to so many items; beyond that the join splits items that many baskets hold over tasks.
-SMALL_COUNTS = 500_000
+SMALL_COUNTS = 20_000
 
 _STRIPE = "a string, part int, n_a long, b array<string>, n_b array<long>, n array<long>"
 
