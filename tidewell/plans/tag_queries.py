@@ -202,6 +202,9 @@ def synonym_spelling(spark, d):
     return synonyms.groups_from_ngram(names, "n", 0.6).select("canonical", "variants")
 
 
+ORACLES["synonym_ngram"] = f"SELECT substr(md5(array_to_string(variants, '|')), 1, 12) AS group_id, canonical, variants, ['ngram'] AS source, CAST(0.6 AS DOUBLE) AS confidence, CAST(NULL AS VARCHAR) AS category FROM ({ORACLES['synonym_spelling']})"
+
+
 # ---- corpora
 
 
