@@ -113,3 +113,30 @@ def test_prefix_filter_loses_nothing(similar):
             need = math.ceil(similar / (1 + similar) * (len(x) + len(y)) - canonical.EPS)
             hits = [(i, y.index(t)) for i, t in enumerate(x[:px]) if t in y[:py]]
             assert any(min(i, j) + min(len(x) - i, len(y) - j) >= need for i, j in hits) and len(x) * similar - canonical.EPS <= len(y) <= len(x) / similar + canonical.EPS
+
+
+@pytest.mark.parametrize("small", [20_000, 0])
+def test_characters_of_several_readings(spark, monkeypatch, small):
+    """A typed character may stand for any of its readings, as may one of the list; the first reading goes before the others."""
+    monkeypatch.setattr(canonical, "SMALL_LIST", small)
+    listed = spark.createDataFrame([(1, "金橘园"), (2, "月山居"), (3, "泐山居"), (4, "柏悦轩"), (5, "春江橘子"), (6, "都会里")], "i int, n string")
+    truth = {
+        "金桔园": 1, "【金 桔 园】有限公司": 1, "金桔桔园": 1, "金結园": None, "乐山居": 3, "约山居": 2, "伯月轩": 4, "摆乐轩": 4, "搏悦轩": 4, "拜悦轩": 4, "宝悦轩": None, "春桔江子": 5, "春江桔": 5, "抖快里": 6, "重会里": None, "桔" * 3_000: None,
+    }
+    values = spark.createDataFrame([(v,) for v in truth], "v string")
+    got = {r.v: r for r in canonical.map_values(values, "v", listed, "i", ["n"]).collect()}
+    assert {v: got[v].i for v in truth} == truth and got["金桔园"].jaccard == 1
+
+
+def test_prefix_filter_loses_no_reading():
+    """The index against comparing all with all, with characters of two and three readings."""
+    rng = random.Random(6)
+    readings = {"x": "ab", "y": "bcd", "z": "da"}
+    words = sorted({"".join(rng.choice("abcdefxyz") for _ in range(rng.randrange(2, 8))) for _ in range(300)})
+    for similar in (0.4, 0.5, 0.7):
+        index = canonical.NameIndex([(k, w, w, w) for k, w in enumerate(words)], similar, readings)
+        for a in words[::3]:
+            pairs = {k: canonical.read_alike(a, b, readings) for k, b in enumerate(words)}
+            assert not any(set(c + e) & set(readings) for c, e, _ in pairs.values())
+            wanted = {k: canonical.likeness(c, e) for k, (c, e, _) in pairs.items()}
+            assert {hit[0]: hit[1] for hit in index.search(a)} == {k: j for k, j in wanted.items() if j >= similar - canonical.EPS}
